@@ -1,9 +1,16 @@
-"""Queries of the ten training-data operators."""
+"""Queries of the ten training-data operators, with DuckDB twins where SQL can say the same."""
+
+from palimpsest.llm import exact_dedup, mixing, sharding, url_filter
 
 
 def queries():
-    return {}
+    return {
+        "op1_rendezvous_sharding": sharding.op1,
+        "op2_radix_exact_dedup": exact_dedup.op2,
+        "op5_link_graph_url_filter": url_filter.op5,
+        "op9_curriculum_mixing": mixing.op9,
+    }
 
 
 def oracle_sql():
-    return {}
+    return {"op2_radix_exact_dedup": exact_dedup.ORACLE}
