@@ -1,6 +1,6 @@
 """Queries of the ten training-data operators, with DuckDB twins where SQL can say the same."""
 
-from palimpsest.llm import exact_dedup, mixing, sharding, url_filter
+from palimpsest.llm import exact_dedup, mixing, near_dedup, sharding, url_filter
 
 
 def queries():
@@ -9,6 +9,7 @@ def queries():
         "op2_radix_exact_dedup": exact_dedup.op2,
         "op5_link_graph_url_filter": url_filter.op5,
         "op9_curriculum_mixing": mixing.op9,
+        "op10_minhash_near_dedup": near_dedup.op10,
     }
 
 
