@@ -69,32 +69,58 @@ def due(q: Column, knots: list[tuple[float, float]]) -> Column:
 
 def mix(docs: DataFrame, key: list[str], carry: list[str] = (), weights=WEIGHTS, schedules=SCHEDULES,
         most: int = MOST_REPEATS) -> DataFrame:
-    """Rows of docs (key, source, size and carry) with source_size, target, taken and position.
+    """Rows of docs (key, source, size and carry) with source_size, kind, start, target, taken and position.
 
     The running sum of a source is that within a sub-range of its hash order plus the sub-range's offset, so that one
     source with a third of all rows still spreads over tasks.
     """
-    docs = docs.withColumn("_h", F.xxhash64(*key, F.lit("mix")))
-    docs = docs.withColumn("_b", F.shiftrightunsigned("_h", 64 - BUCKET_BITS).cast("int"))
-    parts = cut(docs.groupBy("source", "_b").agg(F.sum("size").alias("_s")))
-    before = Window.partitionBy("source").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = parts.select("source", "_b", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_o"))
-    sources = targets(parts.groupBy("source").agg(F.sum("_s").alias("source_size")), weights, most)
-    level = offsets.alias("o").join(sources.alias("s"), F.col("o.source").eqNullSafe(F.col("s.source")))
-    level = level.select(F.col("o.source").alias("_src"), F.col("_b").alias("_bb"), "_o", "source_size", "kind", "target")
-    inner = Window.partitionBy("source", "_b").orderBy("_h", *key, "size").rowsBetween(Window.unboundedPreceding, -1)
+    docs = docs.withColumn("_h", F.xxhash64(*key, F.lit("mix"))).withColumns({
+        "_b": F.shiftrightunsigned("_h", 64 - BUCKET_BITS).cast("int"),
+        "_s": F.coalesce("source", F.lit("")), "_z": F.col("source").isNull(),
+    })
+    place = ["_s", "_z", "_b"]
+    parts = cut(docs.groupBy(*place).agg(F.sum("size").alias("_n")))
+    before = Window.partitionBy("_s", "_z").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.select(*place, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
+    own_source = F.when(~F.col("_z"), F.col("_s")).alias("source")
+    sizes = parts.groupBy("_s", "_z").agg(F.sum("_n").alias("source_size")).select(own_source, "source_size")
+    sources = targets(sizes, weights, most).select(
+        F.coalesce("source", F.lit("")).alias("_s"), F.col("source").isNull().alias("_z"), "source_size", "kind", "target"
+    )
+    inner = Window.partitionBy(*place).orderBy("_h", *key, "size").rowsBetween(Window.unboundedPreceding, -1)
     own = docs.withColumn("_c", F.coalesce(F.sum("size").over(inner), F.lit(0)))
-    x = own.join(level, F.col("source").eqNullSafe(F.col("_src")) & (F.col("_b") == F.col("_bb")))
+    x = own.join(offsets.join(sources, ["_s", "_z"]), place)
     start = F.col("_o") + F.col("_c")
     passes = F.when(F.col("source_size") > 0, F.floor(F.round("target") / F.col("source_size"))).otherwise(0)
     rest = F.round("target").cast("bigint") - passes * F.col("source_size")
     taken = passes * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest - start))
+    x = x.withColumns({"start": start, "taken": taken.cast("bigint")})
+    position = F.when(F.col("taken") > 0, position_of(F.col("start"), schedules))
+    return x.select(*key, "source", *carry, "size", "source_size", "kind", "start", "target", "taken", position.alias("position"))
+
+
+def position_of(start: Column, schedules=SCHEDULES) -> Column:
+    """Training time of the word at `start` of a source's laid-out words; of columns kind and target."""
     q = F.when(F.col("target") > 0, F.least(F.lit(1.0), start / F.col("target")))
-    position = F.lit(None).cast("double")
-    for kind in range(len(weights)):
-        position = F.when(F.col("kind") == kind, due(q, schedules[kind % len(schedules)])).otherwise(position)
-    x = x.withColumn("taken", taken.cast("bigint")).withColumn("position", F.when(F.col("taken") > 0, position))
-    return x.select(*key, "source", *carry, "size", "source_size", "target", "taken", "position")
+    out = F.lit(None).cast("double")
+    for kind, knots in enumerate(schedules):
+        out = F.when(F.col("kind") % len(schedules) == kind, due(q, knots)).otherwise(out)
+    return out
+
+
+def training_rows(docs: DataFrame) -> DataFrame:
+    """docs as the mix takes them, range-sorted by training position.
+
+    A document comes as often as its taken words make up whole copies, rounded; copy k stands where the source's words
+    are laid out for the k-th time. The texts are shuffled twice: by sub-range of their source, and by position.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_d")
+    x = docs.select("doc_id", "source", F.xxhash64("text").alias("_th"), words(F.col("text")).alias("size"), row)
+    x = mix(x, ["doc_id", "_th"], ["_d"]).filter("taken > 0")
+    x = x.withColumn("copies", F.round(F.col("taken") / F.col("size")).cast("int")).filter("copies > 0")
+    x = x.withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+    x = x.withColumn("_p", position_of(F.col("start") + F.col("_k") * F.col("source_size")))
+    return x.orderBy("_p", "doc_id").select("_d.*")
 
 
 def mix_documents(docs: DataFrame) -> DataFrame:
