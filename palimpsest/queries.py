@@ -23,7 +23,7 @@ def view(spark: SparkSession, sf: str, name: str) -> DataFrame:
     for t in _TABLES.split():
         if name == t:
             return spark.read.parquet(f"{sf}/{t}.parquet")
-    sql = V.VIEWS[name]
+    sql = V.VIEWS[name].replace(V.LINES, V.SPARK_LINES)
     source = next(t for t in _TABLES.split() if f"from {t}" in sql)
     sql = sql.replace("{", "{{").replace("}", "}}").replace(f"from {source}", "from {src}")
     return spark.sql(sql, src=spark.read.parquet(f"{sf}/{source}.parquet"))
@@ -124,7 +124,7 @@ def queries() -> dict[str, Query]:
         "q_markup_leftovers": _on("wiki_pages", lambda d: d.select("page_id", f.has_markup(F.col("markup")).alias("hit"))),
         "q_markup_filter": _on("whole_edits", f.drop_markup, *KEY),
         "q_single_edit": _on(
-            e, lambda d: f.keep_single_edits(d.withColumn("page_id", F.col("page_id") % 50).withColumn("rev_id", F.col("rev_id") % 130)), *PAIR
+            e, lambda d: f.keep_single_edits(d.withColumn("page_id", F.col("page_id") % 900).withColumn("rev_id", F.col("rev_id") % 1000000)), *PAIR
         ),
         "q_merge_dedupe": _on("whole_edits", lambda d: f.merge_dedupe(d, "source", "rev_id"), *PAIR),
         "q_length_filter": _on("whole_edits", f.drop_long, *KEY),
@@ -223,7 +223,7 @@ c as (select least(200.0, greatest(150.0, quantile_cont(rel, 0.95))) as cut from
         "q_comment_npov": e(f"{k}, {_NPOV} as hit"),
         "q_markup_leftovers": V.duck(f"select page_id, {markup} as hit from wiki_pages"),
         "q_markup_filter": V.duck(f"select {k} from whole_edits where not ({dirty.format('old_text')} or {dirty.format('new_text')})"),
-        "q_single_edit": V.duck("""with a as (select page_id % 50 as page_id, rev_id % 130 as rev_id, old_text, new_text from edits),
+        "q_single_edit": V.duck("""with a as (select page_id % 900 as page_id, rev_id % 1000000 as rev_id, old_text, new_text from edits),
 b as (select *, count(*) over (partition by page_id, rev_id) as n from a) select page_id, rev_id, old_text, new_text from b where n = 1"""),
         "q_merge_dedupe": V.duck(f"""with a as (select *, row_number() over (partition by source, old_text order by rev_id) as rn from whole_edits)
 select {pair} from a where rn = 1 and len(regexp_extract_all(case when length(new_text) > length(old_text) then new_text else old_text end, '{_TOK}')) <= 1024"""),

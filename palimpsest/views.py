@@ -2,26 +2,33 @@
 
 EDIT_PAIRS = """
 select doc_id + 1 as page_id, concat('Page ', source) as page_title, source,
-       doc_id * 10 + 2 as rev_id, doc_id * 10 + 1 as prev_rev_id, lang as contributor, '2024-04-01' as timestamp,
-       case doc_id % 8 when 0 then 'removed pov wording' when 1 then 'Reverted edits by user'
+       (doc_id * 100000 + i) * 10 + 2 as rev_id, (doc_id * 100000 + i) * 10 + 1 as prev_rev_id, lang as contributor, '2024-04-01' as timestamp,
+       case (doc_id + i) % 8 when 0 then 'removed pov wording' when 1 then 'Reverted edits by user'
             when 2 then 'per WP:PEACOCK' when 3 then 'rm npov statement' when 4 then 'typo'
             when 5 then 'see WP:FRINGE' when 6 then 'rv vandalism' else '' end as comment,
        concat('Section ', cast(doc_id % 3 as string)) as section,
        old_text,
-       case doc_id % 7 when 0 then old_text
+       case (doc_id + i) % 7 when 0 then old_text
             when 1 then replace(old_text, ' the ', ' a ')
             when 2 then substr(old_text, 1, 300)
             when 3 then concat(old_text, ' Added closing words for this revision.')
             when 4 then replace(old_text, 'on', 'xy')
             when 5 then substr(old_text, 60, 540)
             else concat(substr(old_text, 1, 200), substr(old_text, 260, 340)) end as new_text
-from (select doc_id, source, lang, {text} as old_text from documents) d
+from {text} d
 """
-#: The edit distance is quadratic in the text, so the operators on edits take an opening section of each document;
-#: a section, not the document, is the unit of an edit.
-EDITS = EDIT_PAIRS.replace("{text}", "substr(text, 1, 600)")
-WHOLE_EDITS = EDIT_PAIRS.replace("{text}", "text").replace("substr(old_text, 60, 540)", "substr(old_text, 60)").replace(
-    "substr(old_text, 260, 340)", "substr(old_text, 260)")
+#: The edit distance is quadratic in the text, so an edit here is one line of a document; every line of every document is
+#: one. WHOLE_EDITS take whole documents. LINES stands for the lines in either engine's words.
+LINES = "{lines}"
+EDITS = EDIT_PAIRS.replace("{text}", "{lines}")
+SPARK_LINES = "(select doc_id, source, lang, posexplode(split(text, '\\n')) as (i, old_text) from documents)"
+DUCK_LINES = """(select doc_id, source, lang, unnest(range(len(l))) as i, unnest(l) as old_text
+from (select doc_id, source, lang, string_split(text, chr(10)) as l from documents) t)"""
+WHOLE_EDITS = (
+    EDIT_PAIRS.replace("{text}", "(select doc_id, source, lang, 0 as i, text as old_text from documents)")
+    .replace("substr(old_text, 60, 540)", "substr(old_text, 60)")
+    .replace("substr(old_text, 260, 340)", "substr(old_text, 260)")
+)
 REVS = """
 select user_id as page_id, event_id as rev_id,
        cast(row_number() over (partition by user_id order by event_id) as int) as rev_ord,
@@ -50,7 +57,7 @@ VIEWS = {"edits": EDITS, "whole_edits": WHOLE_EDITS, "revs": REVS, "chat_pairs":
 def duck(sql: str) -> str:
     """Puts the views that the text names in front, as common table expressions."""
     used = [k for k in VIEWS if f"from {k}" in sql or f"join {k}" in sql]
-    ctes = ", ".join(f"{k} as ({VIEWS[k].replace('as string', 'as varchar')})" for k in used)
+    ctes = ", ".join(f"{k} as ({VIEWS[k].replace('as string', 'as varchar').replace(LINES, DUCK_LINES)})" for k in used)
     if not ctes:
         return sql
     if sql.lstrip().startswith("with recursive"):
