@@ -101,7 +101,58 @@ def _wiki_text(spark, sf):
     return view(spark, sf, "wiki_pages").select("page_id", X.collapse_ws(F.col("markup")).alias("norm"))
 
 
-def queries() -> dict[str, Query]:
+#: Known before any session is there; the queries themselves are built of columns, which need one.
+NAMES = """
+q_minimum_preference_records
+q_empty_text
+q_same_text
+q_simple_edit
+q_short_text
+q_rel_length_quantile_cut
+q_edit_distance
+q_abs_edit_distance_cut
+q_rel_edit_distance
+q_outliers_npov
+q_outliers_fa
+q_outliers_twice
+q_comment_fa
+q_comment_npov
+q_markup_leftovers
+q_markup_filter
+q_single_edit
+q_merge_dedupe
+q_length_filter
+q_removal
+q_bleu
+q_bleu_filter_npov
+q_bleu_filter_fa
+q_quantile_profile
+q_word_tokens
+q_token_counts
+q_line_split
+q_text_normalise
+q_problem_patterns
+q_length_guard
+q_namespace_filter
+q_title_semi_join
+q_processed_anti_join
+q_node_split
+q_revert_flags
+q_revert_counts
+q_revision_chain
+q_chain_pairs
+q_latest_n
+q_npov_edits
+q_npov_parent_join
+q_section_diff
+q_diff_rows
+q_retained_diffs
+q_prompt_messages
+q_preference_split
+""".split()
+
+
+def _built() -> dict[str, Query]:
     e = "edits"
     comment = lambda fn: lambda d: d.select(*KEY, fn(F.col("comment")).alias("hit"))
     return {
@@ -163,6 +214,10 @@ def queries() -> dict[str, Query]:
     }
 
 
+def queries() -> dict[str, Query]:
+    return {name: lambda spark, sf, name=name: _built()[name](spark, sf) for name in NAMES}
+
+
 def oracle_sql() -> dict[str, str]:
     k, pair = "page_id, rev_id", "page_id, rev_id, old_text, new_text"
     e = lambda cols, where="true": V.duck(f"select {cols} from edits where {where}")

@@ -72,8 +72,9 @@ def test_split_has_the_asked_size(spark):
 
 
 def test_every_query_has_rows(spark):
-    from palimpsest.queries import oracle_sql, queries
+    from palimpsest.queries import NAMES, _built, oracle_sql, queries
 
+    assert NAMES == list(_built())
     assert set(oracle_sql()) <= set(queries())
     got = queries()["q_revision_chain"](spark, "/root/testdata/sf0.001")
     assert got.count() > 0
