@@ -1,9 +1,10 @@
 """URL verdicts: explicit host and path rules first, then trust and distrust that spread along the host link graph.
 Native.
 
-Trust is a personalised PageRank from hosts that the rules mostly allow, along links; distrust is one from hosts that
-they mostly block, against links (who links to a bad host is suspect). A host without a rule for a page is blocked if
-its distrust is over `threshold` of its trust and distrust together; without either it is allowed.
+Trust is a personalised PageRank along links, from every host in proportion to its pages that the rules allow; distrust
+is one against links (who links to a bad host is suspect), from every host in proportion to its pages that they block.
+A page that no rule fits is blocked if its host's distrust is over `threshold` of its trust and distrust together, and
+allowed if the host has neither.
 
 Defined cases: a url that is null or has no "://" has an empty host and path, which no rule fits and no link reaches
 (allow); null html has no links; repeated rows are judged alike; an empty table gives an empty result; other columns
@@ -91,13 +92,13 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]] = RULES, threshold: flo
     url = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     url = url.withColumn("_m", matched_rule(F.col("host"), F.col("path"), rules))
     per_host = url.filter("host <> ''").groupBy("host").agg(
-        F.count("*").alias("n"), F.count_if(F.col("_m.verdict") == "allow").alias("good"), F.count_if(F.col("_m.verdict") == "block").alias("bad")
+        F.count_if(F.col("_m.verdict") == "allow").alias("good"), F.count_if(F.col("_m.verdict") == "block").alias("bad")
     )
     kinds = F.array(
-        F.struct(F.lit("trust").alias("kind"), F.when(F.col("good") * 2 > F.col("n"), F.col("good")).alias("m")),
-        F.struct(F.lit("distrust").alias("kind"), F.when(F.col("bad") * 2 > F.col("n"), F.col("bad")).alias("m")),
+        F.struct(F.lit("trust").alias("kind"), F.col("good").alias("m")),
+        F.struct(F.lit("distrust").alias("kind"), F.col("bad").alias("m")),
     )
-    mass = per_host.select("host", F.inline(kinds)).filter("m is not null")
+    mass = per_host.select("host", F.inline(kinds)).filter("m > 0")
     total = mass.groupBy("kind").agg(F.sum("m").alias("t"))  # two rows at most
     seeds = mass.join(F.broadcast(total), "kind").select("kind", "host", (F.col("m") / F.col("t")).alias("seed"))
     links = host_edges(pages.select(host_of(F.col("url")).alias("host"), "html"))

@@ -112,6 +112,20 @@ def test_url_rules(spark):
     assert url_filter.judge(pages.limit(0)).count() == 0
 
 
+def test_url_verdicts_spread_from_hosts_with_few_ruled_pages(spark):
+    bad, good = '<a href="http://bad.example.com/1">', '<a href="http://friend.test/">'
+    rows = [(1, "http://bad.example.com/de/", ""), *((i, f"http://bad.example.com/{i}", "") for i in (2, 3, 4)),
+            (5, "http://good.org/fr/", good), *((i, f"http://good.org/{i}", "") for i in (6, 7, 8)),
+            (9, "http://suspect.test/", bad), (10, "http://friend.test/", ""), (11, "http://far.test/", "")]
+    verdicts = lambda r: {x.page_id: x.verdict for x in url_filter.judge(spark.createDataFrame(r, "page_id bigint, url string, html string")).collect()}
+    got = verdicts(rows)
+    assert {i for i, v in got.items() if v == "block"} == {1, 2, 3, 4, 9}
+    assert verdicts([(i, u, "" if i == 9 else h) for i, u, h in rows])[9] == "allow"  # no link, no distrust
+    both = [(i, u, bad if i == 10 else h) for i, u, h in rows]
+    assert verdicts(both)[10] == "allow"  # half of suspect's distrust, all of good's trust
+    assert verdicts([(i, u, "" if i == 5 else h) for i, u, h in both])[10] == "block"
+
+
 def test_tokens_are_those_of_the_named_tokenizer():
     import public_tokenizers
     from tokenizers import Tokenizer
