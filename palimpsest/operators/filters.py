@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from palimpsest.functions import text as X
 from palimpsest.functions.bleu import bleu_score
 from palimpsest.functions.comments import is_fa_edit
+from palimpsest.functions.distance import edit_distance
 
 
 
@@ -46,7 +47,7 @@ def cut_relative_length(df: DataFrame, q: float, low: float = 150.0, high: float
 
 
 def with_edit_distance(df: DataFrame) -> DataFrame:
-    return df.withColumn("edit_distance", F.levenshtein(_old(), _new()))
+    return df.withColumn("edit_distance", edit_distance(_old(), _new()))
 
 
 def cut_edit_distance(df: DataFrame, least: int = 4) -> DataFrame:

@@ -81,8 +81,8 @@ and (cast(edit_distance as double) / length(old_text) > 0.1 or {spare})""").repl
 _RECORD = "page_id, page_title, section, rev_id, prev_rev_id, timestamp, contributor, comment"
 
 
-def _records(spark: SparkSession, sf: str) -> DataFrame:
-    df = f.outliers_npov(view(spark, sf, "edits"))
+def _records(spark: SparkSession, sf: str, name: str = "edits") -> DataFrame:
+    df = f.outliers_npov(view(spark, sf, name))
     out = p.records(df.withColumn("prompt", p.simple_prompt(F.col("page_title"), F.col("section"))))
     return out.select(
         *p.META, "prompt", F.col("chosen")[1].content.alias("chosen"), F.col("rejected")[1].content.alias("rejected")
@@ -152,11 +152,35 @@ q_preference_split
 """.split()
 
 
-def _built() -> dict[str, Query]:
-    e = "edits"
+#: Those of them that work on the texts of edits, once more over the whole documents (WHOLE_EDITS) under q_whole_.
+#: They have no DuckDB twin: its edit distance takes too long on whole texts.
+WHOLE = """
+q_minimum_preference_records
+q_empty_text
+q_same_text
+q_simple_edit
+q_short_text
+q_rel_length_quantile_cut
+q_edit_distance
+q_abs_edit_distance_cut
+q_rel_edit_distance
+q_outliers_npov
+q_outliers_fa
+q_outliers_twice
+q_removal
+q_bleu
+q_bleu_filter_npov
+q_bleu_filter_fa
+q_quantile_profile
+q_diff_rows
+q_retained_diffs
+""".split()
+
+
+def _built(e: str = "edits") -> dict[str, Query]:
     comment = lambda fn: lambda d: d.select(*KEY, fn(F.col("comment")).alias("hit"))
     return {
-        "q_minimum_preference_records": _records,
+        "q_minimum_preference_records": lambda s, d: _records(s, d, e),
         "q_empty_text": _on(e, f.drop_empty, *PAIR),
         "q_same_text": _on(e, f.drop_same, *PAIR),
         "q_simple_edit": _on(e, lambda d: f.drop_same(d, True), *PAIR),
@@ -215,7 +239,9 @@ def _built() -> dict[str, Query]:
 
 
 def queries() -> dict[str, Query]:
-    return {name: lambda spark, sf, name=name: _built()[name](spark, sf) for name in NAMES}
+    lines = {name: lambda spark, sf, name=name: _built()[name](spark, sf) for name in NAMES}
+    whole = {f"q_whole_{n[2:]}": lambda spark, sf, n=n: _built("whole_edits")[n](spark, sf) for n in WHOLE}
+    return lines | whole
 
 
 def oracle_sql() -> dict[str, str]:

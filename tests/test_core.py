@@ -78,3 +78,51 @@ def test_every_query_has_rows(spark):
     assert set(oracle_sql()) <= set(queries())
     got = queries()["q_revision_chain"](spark, "/root/testdata/sf0.001")
     assert got.count() > 0
+
+
+def _distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_edit_distance_is_exact(spark):
+    import random
+
+    rng = random.Random(3)
+    rows = [("", ""), ("ab", ""), (None, "a"), ("é" * 9, "é" * 4 + "ß"), ("na\nïve", "ive")]
+    for _ in range(300):
+        a = "".join(rng.choice("abé\n") for _ in range(rng.randint(0, 30)))
+        rows += [(a, "".join(c if rng.random() < 0.8 else rng.choice("aß") for c in a)), (a, a[::-1]), (a, a[3:] + "aé")]
+    got = f.with_edit_distance(spark.createDataFrame(rows, "old_text string, new_text string")).collect()
+    assert len(got) == len(rows)
+    assert all(x.edit_distance == (None if x.old_text is None else _distance(x.old_text, x.new_text)) for x in got)
+
+
+def test_whole_edits_reach_the_queries(spark, tmp_path):
+    from palimpsest.queries import WHOLE, queries
+
+    texts = ["\n\n".join(f"Part {i} of text {d} sits on the shelf. The on and on line {i} ends.\nIt has one more." for i in range(9 + d))
+             for d in range(14)]
+    rows = [(d, t, "en", "s", len(t)) for d, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
+    new = [
+        (t, t.replace(" the ", " a "), t[:300], t + " Added closing words for this revision.", t.replace("on", "xy"), t[59:], t[:200] + t[259:])[d % 7]
+        for d, t in enumerate(texts)
+    ]
+    q = {n[8:]: fn(spark, str(tmp_path)).collect() for n, fn in queries().items() if n.startswith("q_whole_")}
+    assert len(q) == len(WHOLE)
+    at = lambda x: x.page_id - 1
+    assert min(map(len, texts)) > 600 and {(at(x), x.old_text, x.new_text) for x in q["empty_text"]} == {(d, t, new[d]) for d, t in enumerate(texts)}
+    assert {at(x) for x in q["same_text"]} == {d for d in range(14) if d % 7}
+    assert {at(x): x.edit_distance for x in q["edit_distance"]} == {d: _distance(t, new[d]) for d, t in enumerate(texts)}
+    far = {d: _distance(t, new[d]) for d, t in enumerate(texts) if t not in new[d] and new[d] not in t}
+    assert {at(x): x.edit_distance for x in q["outliers_npov"]} == {d: k for d, k in far.items() if k > 4 and k / len(texts[d]) > 0.1}
+    words = [(f_old.split(), f_new.split()) for f_old, f_new in zip(texts, new, strict=True)]
+    assert {at(x) for x in q["removal"]} == {d for d, (a, b) in enumerate(words) if len(b) > 0.8 * len(a)}
+    assert {at(x) for x in q["bleu"] if x.bleu_score == 1} == {d for d in range(14) if d % 7 in (0,)}
+    assert all("\n\n" not in x.old_text for x in q["diff_rows"])  # rows end at paragraph breaks
+    assert any("\n" in x.old_text for x in q["diff_rows"]) and q["retained_diffs"]
