@@ -1,8 +1,9 @@
 """Line-level deduplication by pairwise alignment.
 
-Every line of MIN_WORDS words or more links each document that holds it to the first document that does. So a line,
-however common, gives one pair for each later holder, never the pairs among its holders, and no line is left out; pairs
-found by several lines count once. Each pair's whole line sequences are aligned by patience diff (common heads and
+The shortest runs of lines with MIN_WORDS words or more, from each line on and up to each line (one line, if it is
+long enough), link each document that holds them to the first document that does. Any block of that many words consists
+of such runs. So a run, however common, gives one pair for each later holder, never the pairs among its holders, and
+none is left out; pairs found by several runs count once. Each pair's whole line sequences are aligned by patience diff (common heads and
 tails, then lines unique on both sides in their longest common order, then between those again; last come blocks that
 moved), and the aligned blocks that hold MIN_WORDS words are deleted from the later document. Blank lines inside a block go with it.
 
@@ -132,19 +133,45 @@ def without_lines(text: str, gone: list[int]) -> str:
     return "\n".join(kept + ([] if cutting and not kept else held)) if drop else text
 
 
-def _lines(batches):
-    for b in batches:
-        keys, words = [], []
-        for text in b.column("text"):
-            lines = [x for x in (text.as_py() or "").split("\n") if x.strip()]
-            keys.append(b"".join(xxhash.xxh3_128_digest(x.strip()) for x in lines))
-            words.append([len(x.split()) for x in lines])
-        firsts = [np.frombuffer(k, "<i8")[::2] for k in keys]
-        yield pa.RecordBatch.from_arrays(
-            [*(b.column(c) for c in ("nul", "id", "th")), pa.array(keys, pa.binary()),
-             pa.array([x.tolist() for x in firsts], pa.list_(pa.int64())), pa.array(words, pa.list_(pa.int32()))],
-            ["nul", "id", "th", "keys", "hs", "words"],
-        )
+def runs(words: list[int], least: int) -> set[tuple[int, int]]:
+    """(from, to) of the shortest run with `least` words from each line on, and of that up to each line."""
+    out, i, size = set(), 0, 0
+    for j, n in enumerate(words):  # i: the last start of a run up to j
+        size += n
+        while size - words[i] >= least:
+            size -= words[i]
+            i += 1
+        if size >= least:
+            out.add((i, j + 1))
+    j, size = 0, 0
+    for i, n in enumerate(words):  # j: the first end of a run from i on
+        while size < least and j < len(words):
+            size += words[j]
+            j += 1
+        if size < least:
+            break
+        out.add((i, j))
+        size -= n
+    return out
+
+
+def _lines(least: int):
+    def run(batches):
+        for b in batches:
+            keys, words, hashes = [], [], []
+            for text in b.column("text"):
+                lines = [x for x in (text.as_py() or "").split("\n") if x.strip()]
+                key, n = b"".join(xxhash.xxh3_128_digest(x.strip()) for x in lines), [len(x.split()) for x in lines]
+                keys.append(key), words.append(n)
+                found = {xxhash.xxh3_64_intdigest(key[16 * i : 16 * j]) for i, j in runs(n, least)}
+                hashes.append(np.fromiter(found, np.uint64, len(found)).view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [*(b.column(c) for c in ("nul", "id", "th")), pa.array(keys, pa.binary()),
+                 pa.array([x.tolist() for x in hashes], pa.list_(pa.int64())), pa.array(words, pa.list_(pa.int32()))],
+                ["nul", "id", "th", "keys", "hs", "words"],
+            )
+
+    return run
 
 
 def _aligned(least: int):
@@ -187,10 +214,9 @@ def deletions(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     own = f"nul boolean, id {kind}, th bigint"
     some = docs.filter(F.length("text") > 0).select(*[c.alias(k) for k, c in _key(F.col("text")).items()], "text")
-    lines = cut(some.mapInArrow(_lines, f"{own}, keys binary, hs array<bigint>, words array<int>"))
+    lines = cut(some.mapInArrow(_lines(least), f"{own}, keys binary, hs array<bigint>, words array<int>"))
     who = F.struct(F.col("nul"), F.col("id"), F.col("th"))
-    long = F.array_distinct(F.transform(F.filter(F.arrays_zip("hs", "words"), lambda x: x.words >= least), lambda x: x.hs))
-    held = lines.select(who.alias("k"), F.explode(long).alias("h"))
+    held = lines.select(who.alias("k"), F.explode("hs").alias("h"))
     firsts = held.groupBy("h").agg(F.min("k").alias("a"), F.max("k").alias("z")).filter("a <> z").select("h", "a")
     pairs = held.join(firsts, "h").filter("k <> a").select("a", F.col("k").alias("b")).distinct()
     lines = lines.select(who.alias("k"), "keys", "words")

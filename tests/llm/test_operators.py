@@ -100,6 +100,26 @@ def test_line_dedup(spark, odd):
     assert line_dedup.dedup_lines(odd.limit(0)).count() == 0
 
 
+def test_line_dedup_of_short_lines(spark):
+    verse = ["one two", "three", "four five six", "seven eight"]
+    rows = [(1, f"{text(9)}\nx", "a"), (2, "\n".join(["p q", *verse, "end"]), "a"), (3, "\n".join(["r s t", *verse, "x"]), "a"),
+            (4, "a b c d\ne\nx", "a"), (5, "a b c d\ne\nf", "a"), (6, "a b c d\ne\nf", "a"), (7, "three\nx\nseven eight", "a")]
+    rows += [(8, f"{rows[0][1]}\nm n\no p q", "a"), (9, f"{rows[0][1]}\nz\nm n\no p q", "a")]
+    got = {x.doc_id: x.text for x in line_dedup.dedup_lines(docs_of(spark, rows)).collect()}
+    assert got[3] == "r s t\nx" and got[5] == "f" and got[6] == "" and got[8] == "m n\no p q" and got[9] == "z"
+    assert all(got[i] == rows[i - 1][1] for i in (1, 2, 4, 7))
+
+
+def test_runs_cover_every_block():
+    for _ in range(300):
+        words = [rng.randint(1, 7) for _ in range(rng.randint(0, 9))]
+        got, n = line_dedup.runs(words, 5), len(words)
+        blocks = [(i, j) for i in range(n) for j in range(i + 1, n + 1) if sum(words[i:j]) >= 5]
+        assert got <= set(blocks)
+        for i, j in blocks:
+            assert set(range(i, j)) == {k for a, b in got if i <= a and b <= j for k in range(a, b)}
+
+
 def test_url_rules(spark):
     pages = spark.createDataFrame(
         [(1, "http://A.net/x?y", ""), (2, "https://example.net/en/a", None), (3, "nothing", ""), (4, None, ""),
