@@ -17,8 +17,11 @@ SURE_WORDS, LEAST_SCORE = 50, 0.1
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a letter, and long ones that resemble none of the languages learned from docs; a document
-    without a language gets the predicted one."""
-    told = langid.tell(docs.withColumn("_t", F.col("text")), langid.learned(docs))
+    without a language gets the predicted one. If no language could be learned, all texts with a letter stay as they are."""
+    learned = langid.learned(docs)
+    if not learned:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    told = langid.tell(docs.withColumn("_t", F.col("text")), learned)
     known = F.col("lang_pred") != langid.UNKNOWN
     like = (F.col("score") >= LEAST_SCORE) | (mixing.words(F.col("_t")) < SURE_WORDS)
     out = told.filter(known & like).withColumns({"text": F.col("_t"), "lang": F.coalesce("lang", "lang_pred")})

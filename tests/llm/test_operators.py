@@ -301,3 +301,13 @@ def test_pipeline(spark):
     for k, (_, stage) in enumerate(c.STAGES):
         docs = stage(spark, docs, "/root/testdata/sf0.001").checkpoint()
         assert docs.count() > 0 and (k == 4 or docs.columns == columns)
+
+
+def test_unlabelled_documents_pass_the_language_stage(spark):
+    import corpus_pipeline as c
+
+    rows = [(1, text(80), "a"), (2, "123 ... \n", "a"), (3, None, "a"), (None, "né", "b"), (5, "", "b")]
+    docs = docs_of(spark, rows).withColumn("lang", F.lit(None).cast("string"))
+    got = c.language_id(spark, docs, "").collect()
+    assert sorted(x.text for x in got) == sorted([rows[0][1], "né"]) and {x.lang for x in got} == {None}
+    assert got[0].asDict().keys() == set(docs.columns)
