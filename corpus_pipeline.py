@@ -36,10 +36,13 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near duplicates; rows alike in id and text count once."""
-    kept = near_dedup.near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_id")).distinct()
-    out = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return out.dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    """Keeps the row with the smallest id, null last, of each group of near duplicates; rows alike in id and text count
+    once. Rows are told apart by numbers in that order, as ids may be null or repeated."""
+    rows = docs.dropDuplicates(["doc_id", "text"]).orderBy(F.col("doc_id").asc_nulls_last(), F.xxhash64("text"))
+    rows = cut(rows.withColumn("_row", F.monotonically_increasing_id()))
+    found = near_dedup.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"))
+    kept = found.filter("kept").select(F.col("doc_id").alias("_row"))
+    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

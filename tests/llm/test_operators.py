@@ -311,3 +311,12 @@ def test_unlabelled_documents_pass_the_language_stage(spark):
     got = c.language_id(spark, docs, "").collect()
     assert sorted(x.text for x in got) == sorted([rows[0][1], "né"]) and {x.lang for x in got} == {None}
     assert got[0].asDict().keys() == set(docs.columns)
+
+
+def test_one_row_of_each_near_group_stays(spark):
+    import corpus_pipeline as c
+
+    a, b, z = text(200), text(200), text(50)
+    rows = [(1, a, "a"), (None, a + " x", "a"), (None, z, "a"), (None, None, "a"), (4, b, "a"), (7, b + " y", "a"), (7, "lone words", "a"), (7, "lone words", "a")]
+    got = c.dedup_near(spark, docs_of(spark, rows), "").collect()
+    assert {(x.doc_id, x.text) for x in got} == {(1, a), (None, z), (None, None), (4, b), (7, "lone words")} and len(got) == 5
