@@ -62,7 +62,7 @@ STAGES = [
     ("mixing sources to target weights", mix_sources),
     ("best-fit packing", pack),
 ]
-#: Alignment, minima and packing are no SQL; the pipeline is tested against a brute-force version.
+#: Alignment, minima and packing are no SQL; no brute-force version of the whole pipeline exists yet.
 ORACLE_SQL = None
 
 
