@@ -11,10 +11,14 @@ WORD = rf"[^{SPACE}]+"
 
 
 def shared_dir(spark: SparkSession) -> None:
-    """The checkpoint folder is the cluster's; a temporary one serves only where the session names none (tests)."""
+    """The checkpoint folder is the cluster's. Only a local master (tests) may go without: it gets a temporary one."""
     sc = spark.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+    if sc.getCheckpointDir():
+        return
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not sc.master.split("[")[0] == "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -23,11 +27,9 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Python workers get at most so many rows at once: a batch of whole texts or sets stays small beside the heap."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= rows:
-        spark.conf.set(key, str(rows))
+def carried(df: DataFrame, **own: Column) -> DataFrame:
+    """One column `row` with all of df's, whatever their names, beside the named ones that an operator needs."""
+    return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"), *(c.alias(n) for n, c in own.items()))
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
