@@ -21,8 +21,27 @@ def _new() -> Column:
     return F.col("new_text")
 
 
-HTML_TAGS = "blockquote div font h1 h2 h3 h4 h5 li nowiki p table td th tr ul url".split()
-MARKERS = ("{{", "}}", "[[", "]]", "<ref", "</ref", "ref>", "<!--", "-->")
+# What counts as markup left in a text.
+HTML_TAGS = [
+    "p",
+    "div",
+    "li",
+    "ul",
+    "h1",
+    "h2",
+    "h3",
+    "h4",
+    "h5",
+    "table",
+    "td",
+    "tr",
+    "th",
+    "url",
+    "nowiki",
+    "blockquote",
+    "font",
+]
+MARKERS = ["{{", "}}", "[[", "]]", "<ref", "</ref", "ref>", "<!--", "-->"]
 
 
 def drop_empty(df: DataFrame) -> DataFrame:

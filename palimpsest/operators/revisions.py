@@ -1,10 +1,12 @@
 """Operators on the revision stream: reverts, surviving chain, latest picks, pairing, title and archive filters."""
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from palimpsest.functions.comments import is_npov_edit
 
+# Fixed value: titles outside the article namespace.
 NAMESPACES = r"(?i)^.*?(?:talk|user|wikipedia|template|help|file|draft|category):"
 
 
@@ -46,59 +48,60 @@ def revert_counts(revs: DataFrame) -> DataFrame:
     )
 
 
+def _walk_back(batches):
+    """Rows page_id, rev_ord, first_ord, before; each page's in one run, newest first. Gives those on the path from the
+    last state to the first: a row is on it if the path has reached its ordinal, and it goes on to what stood before."""
+    page, want = None, None
+    for b in batches:
+        keep = []
+        columns = (b.column(c).to_pylist() for c in ("page_id", "rev_ord", "first_ord", "before"))
+        for k, (p, ordinal, first, before) in enumerate(zip(*columns, strict=True)):
+            if (p,) != page:
+                page, want = (p,), first
+            if ordinal == want:
+                keep.append(k)
+                want = before
+        out = b.take(pa.array(keep, pa.int64()))
+        yield pa.RecordBatch.from_arrays([out.column(c) for c in ("page_id", "rev_ord", "before")], ["page_id", "rev_ord", "parent_ord"])
+
+
 def surviving_chain(revs: DataFrame) -> DataFrame:
     """Revisions on the path from the last state back to the first, with chain position and chain parent.
 
-    Only two ordinals a revision go into the per-page array, never texts; the walk is one aggregate().
+    Only ids and ordinals are walked, never texts: one linear pass over each page's rows from the newest on, which holds
+    one ordinal at a time.
     """
-    seen = with_first_seen(revs).withColumn("before", F.lag("first_ord").over(_by_page()))
-    page = seen.groupBy("page_id").agg(
-        F.sort_array(F.collect_list(F.struct("rev_ord", "first_ord", "before"))).alias("a")
-    )
-    # parent_of[first_ord] is the content that stood just before a node first appeared
-    parents = F.map_from_entries(
-        F.transform(F.filter("a", lambda x: x.rev_ord == x.first_ord), lambda x: F.struct(x.rev_ord, x.before))
-    )
-    start = F.array(F.element_at("a", -1).first_ord)
-    walked = F.aggregate(
-        F.sequence(F.lit(1), F.size("a")),
-        start,
-        lambda acc, _: F.when(
-            F.element_at("parents", F.element_at(acc, -1)).isNotNull(),
-            F.concat(acc, F.array(F.element_at("parents", F.element_at(acc, -1)))),
-        ).otherwise(acc),
-    )
-    chain = (
-        page.withColumn("parents", parents)
-        .select("page_id", F.reverse(walked).alias("c"))
-        .select("page_id", F.posexplode("c").alias("chain_pos", "rev_ord"), F.col("c"))
-        .select(
-            "page_id",
-            (F.col("chain_pos") + 1).alias("chain_pos"),
-            "rev_ord",
-            F.when(F.col("chain_pos") > 0, F.element_at("c", F.col("chain_pos"))).alias("parent_ord"),
-        )
-    )
+    seen = with_first_seen(revs.select("page_id", "rev_ord", "sha1", "text_size"))
+    seen = seen.withColumn("before", F.lag("first_ord").over(_by_page())).select("page_id", "rev_ord", "first_ord", "before")
+    kind = dict(seen.dtypes)
+    walk = seen.sortWithinPartitions("page_id", F.desc("rev_ord"))  # a page's rows are together since the window
+    chain = walk.mapInArrow(_walk_back, f"page_id {kind['page_id']}, rev_ord {kind['rev_ord']}, parent_ord {kind['rev_ord']}")
+    chain = chain.withColumn("chain_pos", F.row_number().over(_by_page()))
     return revs.join(chain, ["page_id", "rev_ord"])
 
 
-def accepted(revs: DataFrame, ok: Column | None = None) -> DataFrame:
-    """Drops revisions under a tenth of the last accepted size; order matters, so sizes alone are folded per page."""
-    a = revs.groupBy("page_id").agg(
-        F.sort_array(
-            F.collect_list(F.struct("rev_ord", "text_size", (F.lit(True) if ok is None else ok).alias("ok")))
-        ).alias("a")
-    )
-    empty = F.struct(F.lit(-1).alias("last"), F.array().cast("array<int>").alias("keep"))
+def _large_enough(batches):
+    """Rows page_id, rev_ord, text_size, ok; each page's in one run, oldest first. Gives those that are accepted."""
+    page, last = None, None
+    for b in batches:
+        keep = []
+        for k, (p, size, ok) in enumerate(zip(*(b.column(c).to_pylist() for c in ("page_id", "text_size", "ok")), strict=True)):
+            if (p,) != page:
+                page, last = (p,), None
+            if ok and (last is None or size is not None and size * 10 >= last):
+                keep.append(k)
+                last = size
+        out = b.take(pa.array(keep, pa.int64()))
+        yield pa.RecordBatch.from_arrays([out.column(c) for c in ("page_id", "rev_ord")], ["page_id", "rev_ord"])
 
-    def step(acc, x):
-        good = x.ok & ((acc.last < 0) | (x.text_size * 10 >= acc.last))
-        return F.struct(
-            F.when(good, x.text_size).otherwise(acc.last).alias("last"),
-            F.when(good, F.concat(acc.keep, F.array(x.rev_ord))).otherwise(acc.keep).alias("keep"),
-        )
 
-    kept = a.select("page_id", F.explode(F.aggregate("a", empty, step).keep).alias("rev_ord"))
+def accepted(revs: DataFrame, ok: Column | None = None) -> DataFrame:
+    """Drops revisions under a tenth of the last accepted size; order matters, so sizes alone go through each page once."""
+    ok = F.lit(True) if ok is None else F.coalesce(ok, F.lit(False))
+    slim = revs.select("page_id", "rev_ord", "text_size", ok.alias("ok"))
+    kind = dict(slim.dtypes)
+    run = slim.repartition("page_id").sortWithinPartitions("page_id", "rev_ord")
+    kept = run.mapInArrow(_large_enough, f"page_id {kind['page_id']}, rev_ord {kind['rev_ord']}")
     return revs.join(kept, ["page_id", "rev_ord"], "left_semi")
 
 

@@ -1 +1 @@
-"""End-to-end compositions of operators."""
+"""End-to-end plans: retained diffs of featured articles, neutrality edits and their diffs, and the dataset of either."""

@@ -11,6 +11,8 @@ from palimpsest.functions.comments import FEATURED_TAGS, NEUTRAL_TAGS, POV_TOKEN
 from palimpsest.operators import filters as f
 from palimpsest.operators import preference as p
 from palimpsest.operators import revisions as r
+from palimpsest.operators import sections as w
+from palimpsest.operators import templates as t
 
 Query = Callable[[SparkSession, str], DataFrame]
 _TABLES = "documents events conversations pages labels"
@@ -78,6 +80,36 @@ select {cols} from d where edit_distance > 4
 and (cast(edit_distance as double) / length(old_text) > 0.1 or {spare})""").replace("from edits where", "from edits where")
 
 
+def _twice_sql() -> str:
+    """The outlier filters, and once more over what they leave: the second quantile is another one."""
+    one = """
+a{n} as (select *, {rel} as rel from {src} where {empty}),
+b{n} as (select * from a{n} where not {same} and {short}),
+c{n} as (select least(200.0, greatest(150.0, quantile_cont(rel, 0.95))) as cut from b{n}),
+d{n} as (select b{n}.*, {lev} as far from b{n}, c{n} where rel <= cut),
+o{n} as (select * exclude (rel, far) from d{n} where far > 4 and cast(far as double) / length(old_text) > 0.1)"""
+    parts = dict(rel=_REL, empty=_EMPTY, same=_SIMPLE, short=_SHORT, lev=_LEV)
+    return V.duck("with " + one.format(n=1, src="edits", **parts) + "," + one.format(n=2, src="o1", **parts) + " select page_id, rev_id from o2")
+
+
+#: HTML as text, but for its entities.
+_html = (
+    r"case when not regexp_matches(html, '" + t.UNWANTED + r"') then regexp_replace(regexp_replace(regexp_replace(html, '"
+    + t.STYLE + r"', '', 'g'), '" + t.RAISED + r"', '', 'g'), '" + t.TAG + r"', '', 'g') end"
+)
+
+
+def _sections(src: str) -> str:
+    """The two sections that are left of a page of the wiki views."""
+    text = _STRIP.format(r"replace(regexp_replace(text, '\n{3,}', chr(10) || chr(10), 'g'), chr(160), ' ')")
+    last = _STRIP.format(text + " || ' label'")
+    both = f"[{{'path': 'default__wiki__article__introduction__heading', 'x': {text}}}, {{'path': 'History', 'x': {last}}}]"
+    return (
+        "cast(null as varchar) as error, u.path as path, cast(length(u.x) as int) as size, md5(u.x) as print "
+        f"from (select page_id, unnest({both}) as u from {src})"
+    )
+
+
 _RECORD = "page_id, page_title, section, rev_id, prev_rev_id, timestamp, contributor, comment"
 
 
@@ -97,6 +129,40 @@ def _title_list(spark, sf):
     return view(spark, sf, "edits").filter("page_id % 2 = 0").select("page_title").distinct()
 
 
+def _newest(revs: DataFrame) -> DataFrame:
+    return r.latest_n(revs, 1).select("page_id", F.col("rev_ord").alias("latest_ord"))
+
+
+def _parsed(name: str, markup: str = "markup") -> Query:
+    """page_id, error, path, size, print: a row for each section, or one with the error."""
+
+    def run(spark, sf):
+        rows = w.with_sections(view(spark, sf, name), markup).select("page_id", "error", F.explode_outer("sections").alias("s"))
+        return rows.select("page_id", "error", F.col("s.path").alias("path"), F.length("s.text").alias("size"), F.md5("s.text").alias("print"))
+
+    return run
+
+
+def _template_lookup(spark, sf):
+    docs = view(spark, sf, "templated")
+    rest = [("{{plus}}", "+"), ("{{broken}}", None), *((f"{{{{convert|{i}|km}}}}", f"{i} kilometres") for i in range(4))]
+    table = view(spark, sf, "template_table").unionByName(spark.createDataFrame(rest, "template string, rendered string"))
+    known, invalid = table.filter("rendered is not null"), table.filter("rendered is null").select("template")
+    found = t.lookups(docs.select("text").distinct(), known, invalid)
+    out = t.rendered(docs.select("text").distinct(), found)
+    return docs.join(out, "text").select("page_id", "changed", F.md5("result").alias("result"))
+
+
+def _section_rows(spark, sf):
+    """Section-wise diffs of each page's markup against an edited one; changes that the newest text lacks are dropped."""
+    both = view(spark, sf, "wiki_pages").withColumn("other", F.replace(F.replace("markup", F.lit(" the "), F.lit(" a ")), F.lit(" de "), F.lit(" en ")))
+    new = w.with_sections(both, "other").withColumnRenamed("sections", "new_sections").drop("other", "error")
+    old = w.with_sections(new, "markup").withColumnRenamed("sections", "old_sections").drop("markup", "error")
+    some = F.filter("new_sections", lambda x, i: (i + F.col("page_id")) % 3 != 0)
+    rows = w.section_diffs(old.withColumns({"latest": some, "save_all": F.lit(False)}))
+    return rows.select("page_id", "section", F.md5("old_text").alias("old_text"), F.md5("new_text").alias("new_text"))
+
+
 def _wiki_text(spark, sf):
     return view(spark, sf, "wiki_pages").select("page_id", X.collapse_ws(F.col("markup")).alias("norm"))
 
@@ -145,6 +211,14 @@ q_latest_n
 q_npov_edits
 q_npov_parent_join
 q_section_diff
+q_up_to
+q_wiki_sections
+q_reference_stop
+q_duplicate_sections
+q_template_lookup
+q_html_decode
+q_section_sentences
+q_section_rows
 q_diff_rows
 q_retained_diffs
 q_prompt_messages
@@ -196,8 +270,8 @@ def _built(e: str = "edits") -> dict[str, Query]:
         "q_outliers_twice": _on(e, lambda d: f.outliers_npov(f.outliers_npov(d).select(*d.columns)), *KEY),
         "q_comment_fa": _on(e, comment(is_fa_edit)),
         "q_comment_npov": _on(e, comment(is_npov_edit)),
-        "q_markup_leftovers": _on("wiki_pages", lambda d: d.select("page_id", f.has_markup(F.col("markup")).alias("hit"))),
-        "q_markup_filter": _on("whole_edits", f.drop_markup, *KEY),
+        "q_markup_leftovers": _on("leftovers", lambda d: d.select("page_id", f.has_markup(F.col("markup")).alias("hit"))),
+        "q_markup_filter": _on("leftovers", lambda d: f.drop_markup(d.withColumnsRenamed({"markup": "old_text", "text": "new_text"})), "page_id"),
         "q_single_edit": _on(
             e, lambda d: f.keep_single_edits(d.withColumn("page_id", F.col("page_id") % 900).withColumn("rev_id", F.col("rev_id") % 1000000)), *PAIR
         ),
@@ -215,7 +289,7 @@ def _built(e: str = "edits") -> dict[str, Query]:
         "q_token_counts": _on("documents", lambda d: d.select("doc_id", X.token_count(F.col("text")).cast("bigint").alias("n"))),
         "q_line_split": _on("documents", lambda d: d.select("doc_id", F.md5(F.array_join(X.line_split(F.col("text")), "|")).alias("pieces"))),
         "q_text_normalise": _wiki_text,
-        "q_problem_patterns": _on("documents", lambda d: d.select("doc_id", X.has_problem_pattern(F.col("text")).alias("hit"))),
+        "q_problem_patterns": _on("repeats", lambda d: d.select("page_id", X.has_problem_pattern(F.col("text")).alias("hit"))),
         "q_length_guard": _on("documents", lambda d: d.select("doc_id", X.too_long_for_model(F.col("text"), 20000).alias("hit"))),
         "q_namespace_filter": _on("pages", lambda d: r.drop_namespaces(d.withColumn("t", F.concat(F.when(F.col("page_id") % 5 == 0, "User talk:").otherwise(""), "url")), "t"), "page_id"),
         "q_title_semi_join": lambda s, d: r.keep_titles(view(s, d, e), _title_list(s, d)).select(*KEY),
@@ -229,9 +303,22 @@ def _built(e: str = "edits") -> dict[str, Query]:
         "q_npov_edits": _on("revs", r.npov_edits, *KEY, "parent_rev_id"),
         "q_npov_parent_join": lambda s, d: r.npov_pairs(r.npov_edits(view(s, d, "revs")), view(s, d, "revs")).select(*KEY, "parent_rev_id"),
         "q_section_diff": _on("chat_pairs", lambda d: p.diff_rows(d, "old_text", "new_text")),
+        "q_up_to": _on("revs", lambda d: r.up_to(d, _newest(d)), *KEY),
+        "q_wiki_sections": _parsed("wiki_pages"),
+        "q_reference_stop": _parsed("wiki_tails"),
+        "q_duplicate_sections": _parsed("wiki_twins"),
+        "q_template_lookup": _template_lookup,
+        "q_html_decode": _on("pages", lambda d: d.select("page_id", F.md5(t.decode_html(F.col("html"))).alias("text"))),
+        "q_section_sentences": _on("wiki_pages", lambda d: w.section_sentence_rows(w.with_sections(d, "markup").select("page_id", "sections"))
+            .select("page_id", "section", F.size("sentences").alias("n"), F.md5(F.array_join("sentences", "|")).alias("print"))),
+        "q_section_rows": _section_rows,
         "q_diff_rows": _on(e, lambda d: p.diff_rows(d.select(*PAIR), "old_text", "new_text")),
         "q_retained_diffs": _on(
-            e, lambda d: p.diff_rows(d.select(*PAIR).withColumn("latest", F.concat("new_text", F.lit(" tail"))), "old_text", "new_text", save_all=False, latest="latest")
+            # the newest text is that after the edit, or before it, or neither: about a third of the changes is retained
+            e, lambda d: p.diff_rows(
+                d.select(*PAIR).withColumn("latest", F.element_at(F.array("new_text", "old_text", F.substring("new_text", 1, 200)), F.pmod("page_id", F.lit(3)).cast("int") + 1)),
+                "old_text", "new_text", save_all=False, latest="latest",
+            )
         ),
         "q_prompt_messages": _on(e, lambda d: d.select(*KEY, p.prompt_messages(F.col("page_title"), F.col("section"), F.lit("x")).alias("messages"))),
         "q_preference_split": _on(e, lambda d: p.split(d.select(*KEY), KEY, 200), *KEY, "split"),
@@ -259,7 +346,6 @@ c as (select page_id, ord as rev_ord, cast(max(depth) over (partition by page_id
     edits = f"""{chain}, ed as (select revs.page_id, revs.rev_id, p.rev_id as parent_rev_id, revs.text_size as new_size, p.text_size as old_size
  from c join revs on revs.page_id = c.page_id and revs.rev_ord = c.rev_ord
  left join revs p on p.page_id = c.page_id and p.rev_ord = c.parent_ord where {_NPOV.replace('comment', 'revs.comment')})"""
-    markup = "contains(markup,'{{') or contains(markup,'[[') or contains(markup,'<ref')"
     dirty = " or ".join(f"contains({{0}}, '{m}')" for m in f.MARKERS) + " or " + " or ".join(
         f"contains({{0}}, '<{t} ') or contains({{0}}, '</{t}>') or contains({{0}}, '</{t} ')" for t in f.HTML_TAGS
     ) + r" or regexp_matches({0}, '(?m)^\s*\|.*?=.*$') or contains(lower({0}), 'redirects here')"
@@ -302,8 +388,28 @@ c as (select least(200.0, greatest(150.0, quantile_cont(rel, 0.95))) as cut from
         "q_outliers_fa": _outlier_sql(0.99, f"({_SAME})", _FA, f"{pair}, cast(edit_distance as int) as edit_distance"),
         "q_comment_fa": e(f"{k}, {_FA} as hit"),
         "q_comment_npov": e(f"{k}, {_NPOV} as hit"),
-        "q_markup_leftovers": V.duck(f"select page_id, {markup} as hit from wiki_pages"),
-        "q_markup_filter": V.duck(f"select {k} from whole_edits where not ({dirty.format('old_text')} or {dirty.format('new_text')})"),
+        "q_markup_leftovers": V.duck(f"select page_id, {dirty.replace('{0}', 'markup')} as hit from leftovers"),
+        "q_markup_filter": V.duck(f"select page_id from leftovers where not ({dirty.replace('{0}', 'markup')} or {dirty.replace('{0}', 'text')})"),
+        # every repeat in that view but the last is over a limit, and no document is
+        "q_problem_patterns": V.duck("select page_id, page_id % 6 in (1, 2, 3) as hit from repeats"),
+        "q_outliers_twice": _twice_sql(),
+        "q_bleu_filter_fa": V.duck(bleu + ", c as (select quantile_cont(bleu_score, 0.01) as cut from z) select page_id, rev_id from z, c where bleu_score > cut and bleu_score < 1"),
+        "q_prompt_messages": e(f"""{k}, cast(to_json([{{'role': 'system', 'content': '{p.ASK}'}},
+ {{'role': 'user', 'content': cast(to_json({{'title': page_title, 'section': section, 'text': 'x'}}) as varchar)}}]) as varchar) as messages"""),
+        "q_up_to": V.duck("""with a as (select *, max(ts) over (partition by page_id order by rev_ord rows between unbounded preceding and 1 preceding) as m from revs),
+b as (select page_id, max(rev_ord) as latest_ord from a where m is null or ts > m group by page_id)
+select revs.page_id, rev_id from revs join b on b.page_id = revs.page_id where rev_ord <= latest_ord"""),
+        "q_wiki_sections": V.duck(f"select page_id, {_sections('wiki_pages')}"),
+        "q_reference_stop": V.duck(f"select page_id, {_sections('wiki_tails')}"),
+        "q_duplicate_sections": V.duck("""select page_id, case when page_id % 3 = 0 then 'duplicate' when page_id % 3 = 1 then 'broken' end as error,
+cast(null as varchar) as path, cast(null as int) as size, cast(null as varchar) as print from wiki_twins where page_id % 3 < 2
+union all select page_id, null, unnest(['default__wiki__article__introduction__heading', 'One', 'One // Two', 'Three', 'Three // Two']), unnest([4, 1, 1, 1, 1]),
+unnest([md5('lead'), md5('a'), md5('b'), md5('c'), md5('d')]) from wiki_twins where page_id % 3 = 2"""),
+        "q_template_lookup": V.duck("""with a as (select page_id, text, replace(replace(replace(text, '{{flag|' || lang || '}}', 'Flag of ' || lang),
+  '{{convert|' || (page_id % 4) || '|km}}', (page_id % 4) || ' kilometres'), '{{plus}}', '+') as result from templated)
+select page_id, not contains(text, '{{broken}}') or contains(text, '{{flag') or contains(text, '{{convert') or contains(text, '{{plus}}') as changed,
+case when not contains(text, '{{broken}}') then md5(result) end as result from a"""),
+        "q_html_decode": f"select page_id, md5(replace(replace(replace(replace({_html}, '&quot;', chr(34)), '&middot;', chr(183)), '&copy;', chr(169)), '&amp;', '&')) as text from pages",
         "q_single_edit": V.duck("""with a as (select page_id % 900 as page_id, rev_id % 1000000 as rev_id, old_text, new_text from edits),
 b as (select *, count(*) over (partition by page_id, rev_id) as n from a) select page_id, rev_id, old_text, new_text from b where n = 1"""),
         "q_merge_dedupe": V.duck(f"""with a as (select *, row_number() over (partition by source, old_text order by rev_id) as rn from whole_edits)

@@ -1 +1 @@
-"""Readers: revision dumps, manifests, title lists."""
+"""Readers: revision histories, title lists, dump manifests and stage tables."""

@@ -1 +1 @@
-"""Structured Streaming forms."""
+"""Revisions as a stream: newly landed history tables, judged page by page as they come."""

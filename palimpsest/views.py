@@ -43,7 +43,7 @@ select * from (select conv_id as page_id, turn as rev_id, role as contributor,
   from conversations) c where old_text is not null
 """
 WIKI_PAGES = """
-select doc_id as page_id,
+select doc_id as page_id, text,
        concat('{{Infobox x|name=', source, '}}', chr(10), text, chr(10), chr(10),
               '== History ==', chr(10), text, ' [[Target|label]]',
               case when doc_id % 3 = 0 then '<ref name="a">cite</ref>' else '' end, chr(10), chr(10),
@@ -51,7 +51,42 @@ select doc_id as page_id,
               '== References ==', chr(10), '{{reflist}}', chr(10)) as markup
 from documents
 """
-VIEWS = {"edits": EDITS, "whole_edits": WHOLE_EDITS, "revs": REVS, "chat_pairs": CHAT_PAIRS, "wiki_pages": WIKI_PAGES}
+#: Pages whose section of references is followed by others, which do not count.
+WIKI_TAILS = WIKI_PAGES.replace("'{{reflist}}', chr(10))", "'{{reflist}}', chr(10), '== History ==', chr(10), text, chr(10), '=== Legacy ===', chr(10), 'z', chr(10))")
+#: Pages with two sections of one path, with a heading that an open template hides, or with neither.
+WIKI_TWINS = """
+select doc_id as page_id,
+       concat('lead', chr(10), '== One ==', chr(10), 'a', chr(10), '=== Two ===', chr(10), 'b', chr(10),
+              case doc_id % 3 when 0 then '== One ==' when 1 then concat('<div>', chr(10), '== Three ==', chr(10), '</div>') else '== Three ==' end, chr(10), 'c', chr(10),
+              '=== Two ===', chr(10), 'd', chr(10)) as markup
+from documents
+"""
+#: Each document, and with something at its end that counts as markup left over, or that just does not.
+LEFTOVERS = """
+select doc_id as page_id, text,
+       concat(text, chr(10), case doc_id % 14 when 0 then ' {{' when 1 then ']] ' when 2 then '<ref' when 3 then '<p>' when 4 then '<p class' when 5 then '</td>'
+              when 6 then '  | a = b' when 7 then '| a' when 8 then 'it Redirects Here.' when 9 then '<!-- x' when 10 then '<em>x</em>' when 11 then '</h6>'
+              when 12 then '{ } [ ]' else '' end) as markup
+from documents
+"""
+#: Documents with runs of signs after them: too many sentence marks, one sign or a few signs too often, or not quite.
+REPEATS = """
+select doc_id as page_id, concat(text, case doc_id % 6 when 1 then repeat('a? ', 1000) when 2 then repeat('z', 1002)
+       when 3 then repeat('-=', 102) when 4 then repeat('a? ', 90) when 5 then repeat('z', 900) else '' end) as text
+from documents
+"""
+TEMPLATED = """
+select doc_id as page_id, lang, concat(text, ' {{flag|', lang, '}} and {{convert|', cast(doc_id % 4 as string), '|km}} or {{plus}}',
+       case when doc_id % 5 = 0 then ' {{broken}}' else '' end) as text
+from documents
+"""
+TEMPLATE_TABLE = """
+select distinct concat('{{flag|', lang, '}}') as template, concat('Flag of ', lang) as rendered from documents
+"""
+VIEWS = {
+    "edits": EDITS, "whole_edits": WHOLE_EDITS, "revs": REVS, "chat_pairs": CHAT_PAIRS, "wiki_pages": WIKI_PAGES, "wiki_tails": WIKI_TAILS,
+    "wiki_twins": WIKI_TWINS, "leftovers": LEFTOVERS, "repeats": REPEATS, "templated": TEMPLATED, "template_table": TEMPLATE_TABLE,
+}
 
 
 def duck(sql: str) -> str:
