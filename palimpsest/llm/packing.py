@@ -1,20 +1,23 @@
-"""Best-fit packing of tokenised documents into sequences of a fixed number of tokens.
-
-Documents and gaps are sorted by length. A sweep takes the lengths from long to short; each document's successor is the
-smallest gap that holds it, documents that want one gap are told apart by their rank, the gaps are updated, and the next
-length follows. Documents of one length are interchangeable and so are sequences of one history, so a sweep moves runs of
-them, and the whole plan has no more runs than the capacity allows, however many documents there are: it is worked out
-from the length histogram (at most `capacity` rows), and each document finds its place by length and rank. The outcome
-is that of best-fit decreasing, one document after the other.
+"""Bulk-synchronous best-fit packing of tokenised documents into sequences of a fixed number of tokens.
+
+Lengths are taken in bands, from long to short, as best-fit decreasing would. For a band, documents and the gaps of the
+sequences so far are sorted by length, and a sweep from long to short finds each document's successor, the smallest gap
+that holds it and that no document before it took. That is the matching of brackets: gaps open, documents close, and what
+stands on one level belongs together. Levels come from counts by length and from ranks within a length, so a sweep is a
+few shuffles of slim rows, with no order of all rows in one task. Documents that want one gap are told apart by rank; a
+gap with room for several of the band's longest stands for as many places. Then gaps are updated, and the next sweep
+follows, until one places hardly any (END_SWEEPS). What is left of the band opens new sequences, by as many documents of
+neighbouring ranks as surely fit. Full pieces have a sequence each. The number of sequences comes near that of best-fit
+decreasing, one document after the other (the README has figures).
 
 Defined cases: null text counts as empty and gives the end token alone; repeated rows are packed each; an empty table
 gives an empty result; other columns are ignored.
 """
 
 import base64
+import re
 import zlib
 from array import array
-from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +29,13 @@ from palimpsest.llm.common import cut, read
 CAPACITY = 1024
 END = 2
 SPECIAL = "<|endoftext|>"
-RANKS = "byte_bpe_50k.tiktoken"
+NAMED, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 #: Sub-ranges of a length that are ranked apart.
 BUCKETS = 64
+#: A sweep that places no more than one in so many of what it leaves is a band's last.
+END_SWEEPS = 10
+#: White space without a break that the fast library cannot take.
+LONG_SPACE = re.compile(r"\s{1000}")
 
 
 def vocabulary(name: str = RANKS) -> str:
@@ -38,9 +45,10 @@ def vocabulary(name: str = RANKS) -> str:
 
 
 class Encoder:
-    """Token ids of texts as bytes (little-endian unsigned 32-bit)."""
+    """Token ids of texts as bytes (little-endian unsigned 32-bit), those of the named tokenizer. A faster library gives
+    them from the same vocabulary (the tests compare the two); what it fails on goes to the named one itself."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, named: str | None = None):
         import public_tokenizers
         import tiktoken
 
@@ -49,9 +57,20 @@ class Encoder:
         self.bpe = tiktoken.Encoding(
             "palimpsest", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={SPECIAL: len(ranks)}
         )
+        self.named, self.exact = named or vocabulary(NAMED), None
+
+    def slowly(self, text: str) -> list[int]:
+        if self.exact is None:
+            from tokenizers import Tokenizer
+
+            self.exact = Tokenizer.from_file(self.named)
+        return self.exact.encode(text, add_special_tokens=False).ids
 
     def ids(self, text: str) -> bytes:
-        ids = self.bpe.encode(text, allowed_special="all") if SPECIAL in text else self.bpe.encode_ordinary(text)
+        if LONG_SPACE.search(text):
+            ids = self.slowly(text)
+        else:
+            ids = self.bpe.encode(text, allowed_special="all") if SPECIAL in text else self.bpe.encode_ordinary(text)
         return array("I", ids).tobytes()
 
 
@@ -95,76 +114,103 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int
     return docs.select("doc_id", "text").mapInArrow(_pieces(path, capacity, end), schema)
 
 
-def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int]]:
-    """Runs (length, first rank, first sequence, offset): rank first + i goes to sequence first + i.
-
-    A run lasts up to the next one of its length.
-    """
-    gaps: dict[int, list[tuple[int, int]]] = defaultdict(list)
-    out, opened = [], 0
-    for length in sorted(counts, reverse=True):
-        rank, left = 0, counts[length]
-        while left:
-            gap = next((g for g in range(length, capacity) if gaps[g]), capacity)
-            fold = gap // length
-            if gap == capacity:
-                run = (opened, -(-left // fold))
-                opened += run[1]
-            else:
-                run = gaps[gap].pop()
-            first, n = run
-            full = min(n, left // fold)
-            for j in range(fold if full else 0):
-                out.append((length, rank, first, capacity - gap + j * length))
-                rank += full
-            left -= full * fold
-            if full:
-                gaps[gap - fold * length].append((first, full))
-            if full < n:
-                if left:  # fewer than fill one sequence
-                    for j in range(left):
-                        out.append((length, rank, first + full, capacity - gap + j * length))
-                        rank += 1
-                    gaps[gap - left * length].append((first + full, 1))
-                    full, left = full + 1, 0
-                if full < n:
-                    gaps[gap].append((first + full, n - full))
+def bands(capacity: int) -> list[tuple[int, int]]:
+    """(over, up to) lengths, from long to short: shares of the capacity, fine ones first, then halves."""
+    shares, k = [1, 2, 3, 4, 5, 6, 8, 10, 12, 16, 24], 32
+    while k < capacity:
+        shares.append(k)
+        k *= 2
+    tops = sorted({1} | {capacity // k for k in shares if k <= capacity}, reverse=True)
+    return list(zip([*tops[1:], 0], tops, strict=True))
+
+
+def _ranked(rows: DataFrame, group: list[str], sub: list[str]) -> DataFrame:
+    """rows with `r`, their rank (from 1) within a group: by `sub`, a bucket of a hash, and id. The table of counts has at
+    most as many rows as there are groups, subs and buckets, all bounded by the capacity."""
+    rows = rows.withColumn("b", F.pmod(F.xxhash64("id", "j"), F.lit(BUCKETS)).cast("int"))
+    keys = [*group, *sub, "b"]
+    before = Window.partitionBy(*group).orderBy(*sub, "b").rowsBetween(Window.unboundedPreceding, -1)
+    start = rows.groupBy(*keys).agg(F.count("*").alias("n")).select(*keys, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("o"))
+    own = F.row_number().over(Window.partitionBy(*keys).orderBy("id", "j"))
+    return rows.withColumn("r", own).join(F.broadcast(start), keys).withColumn("r", F.col("r") + F.col("o")).drop("o", "b")
+
+
+def _sweep(docs: DataFrame, gaps: DataFrame, low: int, top: int, capacity: int) -> DataFrame:
+    """docs: id, length (over low, up to top). gaps: seq, gap. Gives id, seq, offset, length of the documents placed."""
+    places = F.greatest(F.floor(F.col("gap") / top), F.lit(1))
+    slots = gaps.filter(F.col("gap") > low).select(
+        F.lit(True).alias("opens"), F.least("gap", F.lit(top)).cast("bigint").alias("size"), (capacity - F.col("gap")).alias("sub"),
+        F.col("seq").alias("id"), F.explode(F.sequence(F.lit(1), places.cast("int"))).alias("j"), "gap",
+    )
+    closing = docs.select(
+        F.lit(False).alias("opens"), F.col("length").alias("size"), F.lit(0).cast("bigint").alias("sub"), "id", F.lit(0).alias("j"),
+        F.lit(None).cast("bigint").alias("gap"),
+    )
+    items = slots.unionByName(closing)
+    # one row for each length: how many places are open before it, none below zero
+    down = Window.orderBy(F.desc("size"))
+    sizes = items.groupBy("size").agg(F.count_if("opens").alias("s"), F.count_if(~F.col("opens")).alias("d"))
+    sizes = sizes.withColumn("p", F.sum(F.col("s") - F.col("d")).over(down)).withColumn("low", F.min("p").over(down))
+    sizes = sizes.withColumn("after", F.col("p") - F.least(F.lit(0), F.col("low")))
+    sizes = sizes.select("size", "s", F.lag("after", 1, 0).over(down).alias("open"))
+    placed = _ranked(items, ["opens", "size"], ["sub"]).join(F.broadcast(sizes), "size")
+    level = F.when(F.col("opens"), F.col("open") + F.col("r")).otherwise(F.col("open") + F.col("s") - F.col("r") + 1)
+    placed = placed.withColumn("level", level).filter("level >= 1")
+    order = Window.partitionBy("level").orderBy(F.desc("size"), F.desc("opens"))  # a length stands on a level twice at most
+    slot = F.last(F.when(F.col("opens"), F.struct(F.col("id").alias("seq"), F.col("gap"))), ignorenulls=True).over(order)
+    met = placed.withColumn("to", slot).filter("not opens").select("id", F.col("size").alias("length"), "to.seq", "to.gap")
+    within = Window.partitionBy("seq").orderBy(F.desc("length"), "id").rowsBetween(Window.unboundedPreceding, -1)
+    offset = capacity - F.col("gap") + F.coalesce(F.sum("length").over(within), F.lit(0))
+    return met.select("id", "seq", offset.alias("offset"), "length")
+
+
+def _opened(docs: DataFrame, top: int, capacity: int) -> DataFrame:
+    """New sequences for documents of up to `top` tokens, in groups of neighbouring ranks. As `_sweep` gives them."""
+    ranked = _ranked(docs.select("id", "length", F.lit(0).alias("j"), (-F.col("length")).alias("sub"), F.lit(0).alias("all")), ["all"], ["sub"])
+    group = Window.partitionBy(F.floor((F.col("r") - 1) / (capacity // top)))
+    before = group.orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
+    return ranked.select("id", F.min("id").over(group).alias("seq"), F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset"), "length")
+
+
+def _left(gaps: DataFrame, placed: DataFrame) -> DataFrame:
+    """gaps after the documents placed; full ones go."""
+    used = placed.groupBy("seq").agg(F.sum("length").alias("u"))
+    return gaps.join(used, "seq", "left").select("seq", (F.col("gap") - F.coalesce("u", F.lit(0))).alias("gap")).filter("gap > 0")
+
+
+def places(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """docs: id, length (1 to capacity), checkpointed. Gives id, seq, offset of each."""
+    done = [docs.filter(F.col("length") == capacity).select("id", F.col("id").alias("seq"), F.lit(0).cast("bigint").alias("offset"))]
+    have = {r[0]: r[1] for r in docs.groupBy("length").count().collect()}  # at most `capacity` rows
+    gaps = None
+    for low, top in bands(capacity):
+        left = sum(n for length, n in have.items() if low < length <= top and length < capacity)
+        band = docs.filter((F.col("length") > low) & (F.col("length") <= top) & (F.col("length") < capacity))
+        while left and gaps is not None:
+            new = cut(_sweep(band, gaps, low, top, capacity))
+            n = new.count()
+            done.append(new.drop("length"))
+            if n:
+                gaps, left = cut(_left(gaps, new)), left - n
+                band = cut(band.join(new.select("id"), "id", "left_anti")) if left else band
+            if n <= left // END_SWEEPS:
+                break
+        if left:
+            new = cut(_opened(band, top, capacity))
+            done.append(new.drop("length"))
+            opened = new.groupBy("seq").agg((capacity - F.sum("length")).alias("gap")).filter("gap > 0")
+            gaps = cut(opened if gaps is None else gaps.unionByName(opened))
+    out = done[0]
+    for x in done[1:]:
+        out = out.unionByName(x)
     return out
 
 
-def _placed(runs: list[tuple[int, int, int, int]]):
-    table = np.array(sorted(runs), np.int64).reshape(-1, 4)
-
-    def run(batches):
-        key = table[:, 0] << 44 | table[:, 1]
-        for b in batches:
-            length, rank = b.column("length").to_numpy(), b.column("rank").to_numpy()
-            at = np.searchsorted(key, length << 44 | rank, "right") - 1
-            seq = table[at, 2] + rank - table[at, 1]
-            keep = [b.column(c) for c in ("doc_id", "piece", "start", "length", "ids_crc32")]
-            yield pa.RecordBatch.from_arrays(
-                [*keep, pa.array(seq), pa.array(table[at, 3])],
-                ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
-            )
-
-    return run
-
-
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Adds sequence_id and offset to pieces (token_pieces' columns) of 1 to `capacity` tokens."""
-    pieces = cut(pieces)
-    order = ["doc_id", "piece", "start", "ids_crc32"]
-    pieces = pieces.withColumn("_b", F.pmod(F.xxhash64(*order), F.lit(BUCKETS)).cast("int"))
-    counts = cut(pieces.groupBy("length", "_b").agg(F.count("*").alias("n")))  # at most capacity x BUCKETS rows
-    before = Window.partitionBy("length").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("length", "_b", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_o"))
-    runs = plan({r[0]: r[1] for r in counts.groupBy("length").agg(F.sum("n")).collect()}, capacity)
-    own = F.row_number().over(Window.partitionBy("length", "_b").orderBy(*order))
-    ranked = pieces.withColumn("_r", own).join(F.broadcast(offsets), ["length", "_b"])
-    ranked = ranked.select(*order, "length", (F.col("_o") + F.col("_r") - 1).cast("bigint").alias("rank"))
-    kind = pieces.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
-    return ranked.mapInArrow(_placed(runs), schema)
+    pieces = cut(pieces.withColumn("id", F.monotonically_increasing_id()))  # numbers stay as they were written
+    found = places(pieces.select("id", "length"), capacity).withColumnRenamed("seq", "sequence_id")
+    return pieces.join(found, "id").drop("id")
 
 
 def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end: int = END) -> DataFrame:
