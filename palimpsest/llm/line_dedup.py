@@ -2,17 +2,23 @@
 
 The shortest runs of lines with MIN_WORDS words or more, from each line on and up to each line (one line, if it is
 long enough), link each document that holds them to the first document that does. Any block of that many words consists
-of such runs. So a run, however common, gives one pair for each later holder, never the pairs among its holders, and
-none is left out; pairs found by several runs count once. Each pair's whole line sequences are aligned by patience diff (common heads and
-tails, then lines unique on both sides in their longest common order, then between those again; last come blocks that
-moved), and the aligned blocks that hold MIN_WORDS words are deleted from the later document. Blank lines inside a block go with it.
+of such runs, so every such block that a document shares with an earlier one makes a pair with its first holder. A run,
+however common, gives one pair for each later holder, never the pairs among its holders, and none is left out; pairs
+found by several runs count once. (So no run has to be left out for being common, and rare ones need no choosing.) Each
+pair's whole line sequences are aligned by patience diff (common heads and tails, then lines unique on both sides in their
+longest common order, then between those again; last come blocks that moved or stand once more), and the aligned blocks
+that hold MIN_WORDS words are deleted from the later document. Blank lines inside a block go with it.
+
+A first holder's lines travel once for each BLOCK of its later holders, not with each of them, and such blocks are
+aligned in tasks of their own.
 
 Documents are in the order of doc_id, null last, then of a hash of the text. Rows alike in both are one document and
 share its fate: they are not compared with each other.
 
 Defined cases: null text has no lines and stays null; a text of blank lines stays as it is; a document all of whose
 lines are deleted gets an empty text; lines are compared without white space at their ends; an empty table gives an
-empty result; columns other than doc_id and text are carried through unchanged.
+empty result; columns other than doc_id and text are carried through unchanged, whatever their names, but that columns
+named n_lines or deleted give way to the result's in `dedup_lines`.
 """
 
 from bisect import bisect_left, bisect_right
@@ -23,10 +29,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from palimpsest.llm.common import cut, read
 
 MIN_WORDS = 5
+#: Later holders that are aligned with a first holder in one go.
+BLOCK = 1024
 
 
 def _in_order(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -82,19 +91,20 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
 
 
 def _moved(a: list, b: list, pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Lines left over on both sides, in b's order: each with the one after the last match if that is equal, or the
-    first such one."""
+    """Lines of b that are left over, in b's order, with a place in a: the one after the last match if that is equal, or
+    the first place that nothing took, or the first of all (a block that b has more often than a)."""
     used, done = {i for i, _ in pairs}, {j for _, j in pairs}
     first: dict = {}
-    for i in range(len(a) - 1, -1, -1):
-        if i not in used:
-            first[a[i]] = i
+    for free in (False, True):  # free places are written last, over taken ones
+        for i in range(len(a) - 1, -1, -1):
+            if (i not in used) == free:
+                first[a[i]] = i
     out, at = [], -1
     for j, x in enumerate(b):
         if j in done or x not in first:
             at = -1
             continue
-        at = at + 1 if 0 <= at < len(a) - 1 and a[at + 1] == x and at + 1 not in used else first[x]
+        at = at + 1 if 0 <= at < len(a) - 1 and a[at + 1] == x else first[x]
         out.append((at, j))
     return out
 
@@ -174,32 +184,46 @@ def _lines(least: int):
     return run
 
 
+_OUT = ["nul", "id", "th", "gone"]
+
+
+def _hashes(keys: bytes) -> list[bytes]:
+    return [keys[i : i + 16] for i in range(0, len(keys), 16)]
+
+
 def _aligned(least: int):
+    """Rows come in runs: a first holder, then the later holders to be aligned with it."""
+
     def run(batches):
+        old: list[bytes] = []
         for b in batches:
-            old, new, words = (b.column(c).to_pylist() for c in ("a_keys", "b_keys", "words"))
-            gone = []
-            for x, y, w in zip(old, new, words, strict=True):
-                one = [x[i : i + 16] for i in range(0, len(x), 16)]
-                gone.append(common_lines(one, [y[i : i + 16] for i in range(0, len(y), 16)], w, least))
-            yield pa.RecordBatch.from_arrays(
-                [*(b.column(c) for c in ("nul", "id", "th")), pa.array(gone, pa.list_(pa.int32()))], ["nul", "id", "th", "gone"]
-            )
+            at, gone = [], []
+            for k, (later, keys) in enumerate(zip(b.column("later").to_pylist(), b.column("keys"), strict=True)):
+                lines = _hashes(keys.as_py())
+                if not later:
+                    old = lines
+                    continue
+                found = common_lines(old, lines, b.column("words")[k].as_py(), least)
+                if found:
+                    at.append(k), gone.append(found)
+            rows = b.take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in _OUT[:3]), pa.array(gone, pa.list_(pa.int32()))], _OUT)
 
     return run
 
 
 def _cut_out(batches):
     for b in batches:
-        texts, gone = b.column("text").to_pylist(), b.column("gone").to_pylist()
-        new = [without_lines(t, g) if g else t for t, g in zip(texts, gone, strict=True)]
-        n = [0 if t is None else sum(1 for x in t.split("\n") if x.strip()) for t in texts]
-        rest = [c for c in b.schema.names if c not in ("text", "gone")]
+        new, n, gone = [], [], []
+        for text, lines in zip(b.column("text"), b.column("gone"), strict=True):
+            text, lines = text.as_py(), lines.as_py()
+            n.append(0 if text is None else sum(1 for x in text.split("\n") if x.strip()))
+            new.append(without_lines(text, lines) if lines else text)
+            gone.append(lines or [])
         yield pa.RecordBatch.from_arrays(
-            [*(b.column(c) for c in rest), pa.array(new, pa.string()), pa.array(n, pa.int64()),
-             pa.array([g or [] for g in gone], pa.list_(pa.int32()))],
-            [*rest, "text", "n_lines", "deleted"],
-        )
+            [b.column("row"), pa.array(new, pa.string()), pa.array(n, pa.int64()), pa.array(gone, pa.list_(pa.int32()))],
+            ["row", "text", "n_lines", "deleted"],
+        )
 
 
 def _key(text: Column) -> dict[str, Column]:
@@ -220,23 +244,36 @@ def deletions(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     firsts = held.groupBy("h").agg(F.min("k").alias("a"), F.max("k").alias("z")).filter("a <> z").select("h", "a")
     pairs = held.join(firsts, "h").filter("k <> a").select("a", F.col("k").alias("b")).distinct()
     lines = lines.select(who.alias("k"), "keys", "words")
-    # a document that is the first of many is a hot key of this join, which Spark splits
-    left = pairs.join(lines.select(F.col("k").alias("a"), F.col("keys").alias("a_keys")), "a")
-    both = left.join(lines.select(F.col("k").alias("b"), F.col("keys").alias("b_keys"), "words"), "b")
-    flat = both.select("b.nul", "b.id", "b.th", "a_keys", "b_keys", "words")
-    gone = flat.mapInArrow(_aligned(least), f"{own}, gone array<int>").filter(F.size("gone") > 0)
+    # a document that is the first of many is a hot key of the joins, which Spark splits, and is dealt to blocks by them
+    many = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    pairs = pairs.join(many, "a").select("a", F.pmod(F.xxhash64("b"), "blocks").cast("int").alias("s"), "b")
+    holders = lines.withColumnRenamed("k", "a").join(many, "a").select(
+        "a", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("s"), F.lit(False).alias("later"),
+        F.lit(None).cast("boolean").alias("nul"), F.lit(None).cast(kind).alias("id"), F.lit(None).cast("bigint").alias("th"),
+        "keys", F.lit(None).cast("array<int>").alias("words"),
+    )
+    later = pairs.join(lines.withColumnRenamed("k", "b"), "b").select("a", "s", F.lit(True).alias("later"), "b.nul", "b.id", "b.th", "keys", "words")
+    runs_ = holders.unionByName(later).repartition("a", "s").sortWithinPartitions("a", "s", "later")
+    gone = runs_.mapInArrow(_aligned(least), f"{own}, gone array<int>")
     return gone.groupBy(*KEY).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
-    """docs with the repeated blocks gone from `text`, and n_lines (before, blank ones not counted) and `deleted`."""
-    gone = cut(deletions(docs, least))
-    keyed = docs.withColumns({f"_{k}": c for k, c in _key(F.col("text")).items()})
+def deduped(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
+    """row (docs' columns but text, as one), text without the repeated blocks, n_lines (before, blank ones not counted)
+    and `deleted`."""
+    gone = cut(deletions(docs.select("doc_id", "text"), least))
+    rest = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("row")
+    keyed = docs.select(rest, "text", *[c.alias(f"_{k}") for k, c in _key(F.col("text")).items()])
     on = [F.col(f"_{k}").eqNullSafe(gone[k]) for k in KEY]
-    marked = keyed.join(gone, on[0] & on[1] & on[2], "left").drop(*KEY, *(f"_{k}" for k in KEY))
-    rest = [f for f in docs.schema if f.name != "text"]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rest), "text string, n_lines bigint, deleted array<int>"])
-    return marked.select(*(f"`{f.name}`" for f in rest), "text", "gone").mapInArrow(_cut_out, schema)
+    marked = keyed.join(gone, on[0] & on[1] & on[2], "left").select("row", "text", "gone")
+    out = T.StructType([marked.schema["row"]]).add("text", "string").add("n_lines", "long").add("deleted", T.ArrayType(T.IntegerType()))
+    return marked.mapInArrow(_cut_out, out)
+
+
+def dedup_lines(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
+    """docs with the repeated blocks gone from `text`, and n_lines and `deleted`."""
+    rest = [c for c in docs.columns if c not in ("text", "n_lines", "deleted")]
+    return deduped(docs, least).select(*(F.col(f"row.`{c}`") for c in rest), "text", "n_lines", "deleted")
 
 
 def op4(spark, sf_dir):
