@@ -18,7 +18,8 @@ from palimpsest.llm.common import ascii_lower, cut, read
 
 RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
 LINK = r"""(?i)<a\b[^>]*?\bhref\s*=\s*["']?\s*(?:https?:)?//([^/"'\s>?#]+)"""
-DAMPING, TOLERANCE, ROUNDS, THRESHOLD = 0.85, 1e-6, 50, 0.5
+#: Rounds end when one moves less mass than TOLERANCE in all; that is looked at every LOOK rounds.
+DAMPING, TOLERANCE, LOOK, THRESHOLD = 0.85, 1e-6, 4, 0.5
 
 
 def host_of(url: Column) -> Column:
@@ -58,8 +59,10 @@ def host_edges(pages: DataFrame) -> DataFrame:
 def propagate(seeds: DataFrame, edges: DataFrame) -> DataFrame:
     """seeds: kind (trust or distrust), host, seed (sums to 1 by kind). Gives kind, host, score.
 
-    Both kinds run in one table: trust along the edges, distrust against them. Mass at a host without edges stays
-    there. A round is one join and one sum on (kind, host); it is cut every few rounds.
+    Both kinds run in one table: trust along the edges, distrust against them. score = (1 - DAMPING) seed + DAMPING times
+    what comes in; what reaches a host without links of its own goes no further. A round is one join and one sum on
+    (kind, host), partial before the shuffle; a hub's links are a skewed key of that join, which Spark splits. Rounds go on
+    until the scores stand still: each has DAMPING times the mass to move that the last had, so they come to an end.
     """
     turn = edges.select(F.lit("trust").alias("kind"), F.col("src").alias("a"), F.col("dst").alias("b"), "w").unionByName(
         edges.select(F.lit("distrust").alias("kind"), F.col("dst").alias("a"), F.col("src").alias("b"), "w")
@@ -67,24 +70,24 @@ def propagate(seeds: DataFrame, edges: DataFrame) -> DataFrame:
     total = turn.groupBy("kind", "a").agg(F.sum("w").alias("t"))
     steps = cut(turn.join(total, ["kind", "a"]).select("kind", "a", "b", (F.col("w") / F.col("t")).alias("p")))
     seeds = cut(seeds)
-    now = seeds.withColumnRenamed("seed", "score")
+    now, k = seeds.withColumnRenamed("seed", "score"), 0
     if steps.isEmpty():
         return now
-    for k in range(ROUNDS):
+    while True:
         flow = now.withColumnRenamed("host", "a").join(steps, ["kind", "a"])
         flow = flow.select("kind", F.col("b").alias("host"), (F.col("score") * F.col("p") * DAMPING).alias("score"))
         base = seeds.select("kind", "host", (F.col("seed") * (1 - DAMPING)).alias("score"))
-        nxt = flow.unionByName(base).groupBy("kind", "host").agg(F.sum("score").alias("score"))
-        if k % 3 == 2:
-            nxt = cut(nxt)
-            old = now.withColumnRenamed("score", "was")
-            moved = nxt.join(old, ["kind", "host"], "full").agg(
+        last, now, k = now, flow.unionByName(base).groupBy("kind", "host").agg(F.sum("score").alias("score")), k + 1
+        if k % LOOK == LOOK - 1:
+            now = cut(now)  # the next round is compared with this one
+        if k % LOOK == 0:
+            now = cut(now)
+            old = last.withColumnRenamed("score", "was")
+            moved = now.join(old, ["kind", "host"], "full").agg(
                 F.sum(F.abs(F.coalesce("score", F.lit(0.0)) - F.coalesce("was", F.lit(0.0))))
             )
             if (moved.first()[0] or 0.0) < TOLERANCE:
-                return nxt
-        now = nxt
-    return now
+                return now
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str]] = RULES, threshold: float = THRESHOLD) -> DataFrame:
