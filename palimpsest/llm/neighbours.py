@@ -4,7 +4,7 @@ Vectors get one more coordinate that brings them all to the largest norm (querie
 inner product is the smallest angle. A table rotates by three rounds of random signs and the fast Hadamard transform and
 hashes to the nearest signed axis; with more rows a second, smaller polytope splits the buckets further. Every row is in
 every table. A query probes the buckets of its next-nearest axes; what shares a probed bucket is scored exactly, block
-by block, and only each block's best go on.
+by block, and only each block's best go on. A query that found fewer than it should is scored against every row, in blocks.
 
 The number of probes is fitted: for SAMPLE queries at most, taken by hash, the true neighbours are found by brute force
 in one pass over all rows, and the probes are the fewest that find RECALL of them.
@@ -36,6 +36,7 @@ def best(query: np.ndarray, ids: np.ndarray, vectors: np.ndarray, own: np.ndarra
 
     The product finds them; the scores are summed anew in one order, so that they do not depend on the block.
     """
+    query, vectors = query.astype(np.float64), vectors.astype(np.float64)
     rough = query @ vectors.T
     rough[own[:, None] == ids[None, :]] = -np.inf
     k = min(n, len(ids))
@@ -73,6 +74,7 @@ class Polytopes:
 
     def lifted(self, v: np.ndarray, query: bool) -> np.ndarray:
         out = np.zeros((len(v), self.width))
+        v = v.astype(np.float64)
         out[:, : v.shape[1]] = v
         if not query:
             out[:, v.shape[1]] = np.sqrt(np.maximum(0, self.top**2 - (v * v).sum(1)))
@@ -110,7 +112,9 @@ class Polytopes:
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return np.array(column.to_pylist(), np.float64).reshape(len(column), -1)
+    """Rows of a column of lists of one length; lists of 4-byte numbers stay such."""
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(len(column), -1)
 
 
 def _arrow(**cols) -> pa.RecordBatch:
@@ -118,8 +122,10 @@ def _arrow(**cols) -> pa.RecordBatch:
 
 
 def usable(rows: DataFrame, key: str, vector: str) -> DataFrame:
-    """id, v (array of double): the rows that take part."""
-    v = F.col(vector).cast("array<double>")
+    """id, v: the rows that take part. v holds double numbers, or 4-byte ones if the vectors do: those stay exact, and are
+    half as much to shuffle."""
+    small = rows.schema[vector].dataType.simpleString() == "array<float>"
+    v = F.col(vector) if small else F.col(vector).cast("array<double>")
     fine = ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("v", lambda x: x != 0)
     out = rows.select(F.col(key).cast("bigint").alias("id"), v.alias("v")).filter(F.col("id").isNotNull() & F.col("v").isNotNull())
     return out.filter(fine)
@@ -149,8 +155,7 @@ def fit_probes(base: DataFrame, queries: DataFrame, hashing: Polytopes, n: int)
     if not sample:
         return 1
     ids, v = np.array([r.id for r in sample]), np.array([r.v for r in sample], np.float64)
-    schema = "query_id bigint, vec_id bigint, score double"
-    true = _ranked(base.mapInArrow(_brute(ids, v, n), schema), n)  # SAMPLE x n rows
+    true = _ranked(base.mapInArrow(_brute(ids, v, n), _FOUND), n)  # SAMPLE x n rows
     true = true.join(base.select(F.col("id").alias("vec_id"), "v"), "vec_id").select("query_id", "vec_id", "v").collect()
     if not true:
         return 1
@@ -196,9 +201,9 @@ def _probing(hashing: Polytopes, n: int):
     return run
 
 
-def _scored(n: int):
+def _scored(n: int, kind: str):
     def matrix(column) -> np.ndarray:
-        return np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(len(column), -1)
+        return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         names = ["query_id", "vec_id", "score"]
@@ -219,7 +224,7 @@ def search(rows: DataFrame, is_query: Column, key: str = "vec_id", vector: str =
     with a large part of all rows is many tasks' work.
     """
     base = usable(rows, key, vector)
-    common = base.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("c"), F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("m"))
+    common = base.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("c"), F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))).alias("m"))
     top = common.orderBy(F.desc("c"), "d").first()
     if top is None:
         return rows.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
@@ -238,7 +243,36 @@ def search(rows: DataFrame, is_query: Column, key: str = "vec_id", vector: str =
     right = right.join(halves, ["t", "h", "b"]).withColumn("p", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     place = ["t", "h", "b", "p"]
     met = left.select(*place, "id", "body").groupBy(*place).cogroup(right.select(*place, "id", "body").groupBy(*place))
-    return _ranked(met.applyInArrow(_scored(n), "query_id bigint, vec_id bigint, score double"), n)
+    kind = "<f4" if dict(base.dtypes)["v"] == "array<float>" else "<f8"
+    found = cut(_ranked(met.applyInArrow(_scored(n, kind), _FOUND), n))
+    # every query gets n rows, or as many as there are rows of other ids: what falls short is searched everywhere
+    have = found.groupBy(F.col("query_id").alias("id")).agg(F.count("*").alias("got"))
+    own = base.groupBy("id").agg(F.count("*").alias("own"))
+    short = queries.join(have, "id", "left").join(own, "id").filter(F.coalesce("got", F.lit(0)) < F.least(F.lit(n), base.count() - F.col("own")))
+    short = cut(short.select("id", "v"))
+    if short.isEmpty():
+        return found
+    more = _ranked(_everywhere(short, base, n, kind), n)
+    return found.join(short.select(F.col("id").alias("query_id")).distinct(), "query_id", "left_anti").unionByName(more)
+
+
+_FOUND = "query_id bigint, vec_id bigint, score double"
+
+
+def _packed(b: pa.RecordBatch) -> pa.RecordBatch:
+    v = _matrix(b.column("v"))
+    return _arrow(g=b.column("g"), p=b.column("p"), id=b.column("id"), body=pa.array([x.tobytes() for x in v], pa.binary()))
+
+
+def _everywhere(queries: DataFrame, base: DataFrame, n: int, kind: str) -> DataFrame:
+    """query_id, vec_id, score of each block's n best for each query: all rows, BLOCK queries by BLOCK rows at a time."""
+    blocks, parts = (max(1, -(-df.count() // BLOCK)) for df in (base, queries))
+    pack = lambda df: df.mapInArrow(lambda batches: (_packed(b) for b in batches), "g int, p int, id bigint, body binary")
+    mod = lambda k, *c: F.pmod(F.xxhash64(*c), F.lit(k)).cast("int")
+    all_of = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
+    right = pack(base.select(mod(blocks, "id").alias("g"), "id", "v").select("g", all_of(parts).alias("p"), "id", "v"))
+    left = pack(queries.select(mod(parts, "id", F.lit(1)).alias("p"), "id", "v").select(all_of(blocks).alias("g"), "p", "id", "v"))
+    return left.groupBy("g", "p").cogroup(right.groupBy("g", "p")).applyInArrow(_scored(n, kind), _FOUND)
 
 
 def op7(spark, sf_dir):
