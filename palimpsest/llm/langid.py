@@ -18,15 +18,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from palimpsest.llm.common import read
 
 DIM = 1024
-#: Letter slots; letters beyond the first ones share them. 0 stands for the gap between words.
-SLOT_BITS = 7
+#: Letter slots, 0 for the gap between words. Letters of alphabets and syllabaries have slots of their own; those of the
+#: large sets (more than LARGE code points in a row of letters without case, such as Han and Hangul) share the last ones.
+SLOT_BITS = 12
 SLOTS = 1 << SLOT_BITS
-#: Characters handled at once.
-SLICE = 1 << 20
+LARGE, SHARED = 1000, 1024
+#: Characters handled at once, and rows of the two tables that are multiplied at once.
+SLICE, BLOCK = 1 << 20, 2048
 MOST_LANGUAGES = 4096
 UNKNOWN = "und"
 _SCALE = 1 << 16
@@ -34,12 +37,23 @@ _SCALE = 1 << 16
 
 def _slots() -> np.ndarray:
     """Slot of each code point: 0 unless it is a letter; both cases of a letter share a slot."""
-    out = np.zeros(0x110000, np.uint8)
-    for cp in range(0x110000):
-        c = chr(cp)
-        if c.isalpha():
-            low = ord(c.lower()[0])
-            out[cp] = low - 96 if 97 <= low <= 122 else 27 + low * 0x9E3779B1 % (1 << 32) % (SLOTS - 27)
+    letter = np.array([chr(cp).isalpha() for cp in range(0x110000)])
+    low = np.arange(0x110000)
+    for cp in np.flatnonzero(letter):
+        c = chr(cp).lower()
+        low[cp] = ord(c[0])
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], letter.astype(np.int8), [0]])))
+    out, free = np.zeros(0x110000, np.int64), 1
+    for a, b in zip(edges[::2], edges[1::2], strict=True):
+        if b - a > LARGE:
+            out[a:b] = SLOTS - SHARED + np.arange(a, b) * 0x9E3779B1 % (1 << 32) % SHARED
+            continue
+        for cp in range(a, b):
+            if low[cp] == cp or not letter[low[cp]]:
+                out[cp] = free if free < SLOTS - SHARED else SLOTS - SHARED + cp * 0x9E3779B1 % (1 << 32) % SHARED
+                free += 1
+    cased = letter & (low != np.arange(0x110000)) & letter[low]
+    out[cased] = out[low[cased]]
     return out
 
 
@@ -52,7 +66,6 @@ class Letters:
         self.slots = _slots()
         signs = np.random.default_rng(1729).integers(0, 2, (SLOTS, DIM), dtype=np.int8) * np.int8(2) - np.int8(1)
         self.first, self.second, self.third = np.roll(signs, 2, 1), np.roll(signs, 1, 1), signs
-        self.seen = np.zeros(1 << 3 * SLOT_BITS, np.int32)
 
     @classmethod
     def one(cls) -> "Letters":
@@ -64,7 +77,7 @@ class Letters:
         s = self.slots[codes]
         at = np.flatnonzero((s[1:] != 0) | (s[:-1] != 0)) + 1
         at = np.concatenate([[0], at])
-        s = s[at].astype(np.int32)
+        s = s[at]
         t = (s[:-2] << 2 * SLOT_BITS) | (s[1:-1] << SLOT_BITS) | s[2:]
         mid = s[1:-1] != 0
         return t[mid], at[1:-1][mid]
@@ -74,61 +87,72 @@ class Letters:
         return self.first[triples >> 2 * SLOT_BITS] * self.second[triples >> SLOT_BITS & low] * self.third[triples & low]
 
     def counted(self, texts: list[str]):
-        """Yields (indexes of texts, distinct triples, counts: a row for each text) over slices; a long text's pieces
-        overlap by the letters that its triples at the seam need."""
+        """Yields (first text, number of texts, place of the text, triple, count) over slices of texts, sorted by text. A
+        longer text than a slice is one of its own, whose pieces overlap by the letters that its triples at the seam need."""
         i = 0
         while i < len(texts):
             j, size = i, 0
             while j < len(texts) and (j == i or size + len(texts[j]) < SLICE):
                 size += len(texts[j])
                 j += 1
-            part = texts[i:j]
-            if j == i + 1 and size > SLICE:
-                whole = self._sparse(part[0])
-                yield np.array([i]), *whole
+            if size > SLICE:
+                kinds, total = self._long(texts[i])
+                yield i, 1, np.zeros(len(kinds), np.int64), kinds, total
             else:
+                part = texts[i:j]
                 lengths = np.array([len(x) + 2 for x in part])
                 codes = np.frombuffer((" " + "  ".join(part) + " ").encode("utf-32-le", "surrogatepass"), np.uint32)
                 t, place = self.triples(codes)
-                doc = np.repeat(np.arange(len(part)), lengths)[place]
-                self.seen[t] = 1
-                kinds = np.flatnonzero(self.seen)
-                self.seen[kinds] = np.arange(len(kinds))
-                flat = doc * len(kinds) + self.seen[t]
-                self.seen[kinds] = 0
-                counts = np.bincount(flat, minlength=len(part) * len(kinds)).reshape(len(part), len(kinds))
-                yield np.arange(i, j), kinds, counts
+                key, n = np.unique(np.repeat(np.arange(len(part)), lengths)[place] << 3 * SLOT_BITS | t, return_counts=True)
+                yield i, len(part), key >> 3 * SLOT_BITS, key & ((1 << 3 * SLOT_BITS) - 1), n
             i = j
 
-    def _sparse(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        total = np.zeros(len(self.seen), np.int64)
+    def _long(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        kinds, total = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for at in range(0, len(text), SLICE):
             lead = " " if not at else ""
             piece = lead + text[max(0, at - 1) : at + SLICE + 1] + (" " if at + SLICE + 1 >= len(text) else "")
-            codes = np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), np.uint32)
-            s = self.slots[codes].astype(np.int32)
+            s = self.slots[np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), np.uint32)]
             t = (s[:-2] << 2 * SLOT_BITS) | (s[1:-1] << SLOT_BITS) | s[2:]
-            total += np.bincount(t[s[1:-1] != 0], minlength=len(total))
-        kinds = np.flatnonzero(total)
-        return kinds, total[kinds][None, :]
+            k, n = np.unique(t[s[1:-1] != 0], return_counts=True)
+            kinds, back = np.unique(np.concatenate([kinds, k]), return_inverse=True)
+            total = np.bincount(back, np.concatenate([total, n]), len(kinds)).astype(np.int64)
+        return kinds, total
+
+    def bundles(self, n: int, doc: np.ndarray, triple: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """The n texts' sums of weighted vectors. Tables of BLOCK triples at most are multiplied at once."""
+        out = np.zeros((n, DIM), weight.dtype)
+        kinds, back = np.unique(triple, return_inverse=True)
+        order = np.argsort(back, kind="stable")
+        edge = np.searchsorted(back[order], np.arange(0, len(kinds) + BLOCK, BLOCK))
+        for k, (a, b) in enumerate(zip(edge[:-1], edge[1:], strict=True)):
+            vectors, part = self.vectors(kinds[k * BLOCK : (k + 1) * BLOCK]).astype(weight.dtype), order[a:b]
+            rows, at = np.unique(doc[part], return_inverse=True)
+            for lo in range(0, len(rows), BLOCK):
+                mine = (at >= lo) & (at < lo + BLOCK)
+                table = np.zeros((min(BLOCK, len(rows) - lo), len(vectors)), weight.dtype)
+                table[at[mine] - lo, back[part[mine]] - k * BLOCK] = weight[part[mine]]
+                out[rows[lo : lo + BLOCK]] += table @ vectors
+        return out
 
 
 def _learn(batches):
     letters, sums = Letters.one(), {}
     for b in batches:
         langs = b.column("lang").to_pylist()
-        for rows, kinds, counts in letters.counted(b.column("text").to_pylist()):
-            if not len(kinds):
+        for i, n, doc, triple, count in letters.counted(b.column("text").to_pylist()):
+            if not len(doc):
                 continue
-            size = np.sqrt((counts.astype(np.float64) ** 2).sum(1))
-            scaled = np.rint(counts * (_SCALE / np.maximum(size, 1))[:, None]).astype(np.int64)
-            names = np.array([langs[i] for i in rows], object)
-            for lang in set(names):
-                add = scaled[names == lang].sum(0)
-                have = np.flatnonzero(add)
-                # whole numbers below 2^53 in all: the product is exact
-                part = add[have].astype(np.float64) @ letters.vectors(kinds[have]).astype(np.float64)
-                sums[lang] = sums.get(lang, 0) + part.astype(np.int64)
+            size = np.sqrt(np.bincount(doc, count.astype(np.float64) ** 2, n))
+            scaled = np.rint(count * (_SCALE / np.maximum(size, 1))[doc])
+            names = sorted(set(langs[i : i + n]))
+            which = np.array([names.index(x) for x in langs[i : i + n]])[doc]
+            # a language's triples in one sum; whole numbers below 2^53 in all, so the product is exact
+            key, back = np.unique(which << 3 * SLOT_BITS | triple, return_inverse=True)
+            total = np.bincount(back, scaled, len(key))
+            found = letters.bundles(len(names), key >> 3 * SLOT_BITS, key & ((1 << 3 * SLOT_BITS) - 1), total)
+            for lang, part in zip(names, found.astype(np.int64), strict=True):
+                sums[lang] = sums.get(lang, 0) + part
     if sums:
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(sums), pa.string()), pa.array([v.tolist() for v in sums.values()], pa.list_(pa.int64()))],
@@ -157,16 +181,15 @@ def _tell(known: dict[str, np.ndarray]):
         letters = Letters.one()
         for b in batches:
             best, score = np.full(b.num_rows, UNKNOWN, object), np.zeros(b.num_rows)
-            for rows, kinds, counts in letters.counted(b.column("text").fill_null("").to_pylist()):
-                if not len(kinds) or not names:
+            for i, n, doc, triple, count in letters.counted(b.column("text").fill_null("").to_pylist()):
+                if not len(doc) or not names:
                     continue
-                bundles = counts.astype(np.float32) @ letters.vectors(kinds).astype(np.float32)
-                size = np.sqrt((bundles * bundles).sum(1))
-                cos = bundles @ table.T / np.maximum(size, 1e-30)[:, None]
-                top = cos.round(6).argmax(1)
-                some = counts.any(1)
-                best[rows[some]] = np.array(names, object)[top[some]]
-                score[rows[some]] = np.clip(cos[np.arange(len(rows)), top][some], 0, 1).round(6)
+                found = letters.bundles(n, doc, triple, count.astype(np.float32))
+                size = np.sqrt((found * found).sum(1))
+                cos = found @ table.T / np.maximum(size, 1e-30)[:, None]
+                top, some = cos.round(6).argmax(1), np.unique(doc)
+                best[i + some] = np.array(names, object)[top[some]]
+                score[i + some] = np.clip(cos[some, top[some]], 0, 1).round(6)
             keep = [b.column(c) for c in b.schema.names if c != "text"]
             yield pa.RecordBatch.from_arrays(
                 [*keep, pa.array(best, pa.string()), pa.array(score, pa.float64())],
@@ -178,9 +201,8 @@ def _tell(known: dict[str, np.ndarray]):
 
 def tell(rows: DataFrame, known: dict[str, np.ndarray]) -> DataFrame:
     """Replaces `text` by lang_pred and score; other columns stay."""
-    rest = rows.drop("text")
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema), "lang_pred string", "score double"])
-    return rows.mapInArrow(_tell(known), schema)
+    out = T.StructType([f for f in rows.schema if f.name != "text"]).add("lang_pred", "string").add("score", "double")
+    return rows.mapInArrow(_tell(known), out)
 
 
 def held_out(doc_id: Column) -> Column:
