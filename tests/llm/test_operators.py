@@ -1,3 +1,4 @@
+import bisect
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -97,6 +98,11 @@ def test_line_dedup(spark, odd):
     out = line_dedup.dedup_lines(odd).collect()
     assert len(out) == 9 and {x.doc_id: x.text for x in out}[1] is None
     assert [len(x.deleted) for x in out if x.doc_id == 5] == [1, 1]
+    names = ["id", "nul", "th", "gone", "later", "a", "k", "row", "keys", "_h", "a b.c"]
+    clash = odd.select("*", *(F.lit(i).alias(c) for i, c in enumerate(names)))
+    got_ = line_dedup.dedup_lines(clash.withColumn("n_lines", F.lit("x")))
+    assert sorted(got_.columns) == sorted([*odd.columns, *names, "n_lines", "deleted"])
+    assert {tuple(x[c] for c in names) for x in got_.collect()} == {tuple(range(len(names)))}
     assert line_dedup.dedup_lines(odd.limit(0)).count() == 0
 
 
@@ -110,6 +116,37 @@ def test_line_dedup_of_short_lines(spark):
     assert all(got[i] == rows[i - 1][1] for i in (1, 2, 4, 7))
 
 
+def test_line_dedup_takes_later_copies_in_one_document(spark):
+    verse, own = text(7), text(6)
+    rows = [(1, f"{verse}\nx", "a"), (2, f"{verse}\n{own}\n{verse}\ny z\n{own}", "a")]
+    got = {x.doc_id: x.text for x in line_dedup.dedup_lines(docs_of(spark, rows)).collect()}
+    assert got == {1: rows[0][1], 2: f"{own}\ny z\n{own}"}
+
+
+def test_no_shared_block_is_left(spark):
+    """Against a search through all pairs: nothing that an earlier document has is left whole."""
+    lines = [text(rng.choice([1, 2, 3, 6])) for _ in range(40)]
+    rows = [(i, "\n".join(rng.choice(lines) if rng.random() < 0.5 else text(3) for _ in range(rng.randint(1, 14))), "a") for i in range(60)]
+    got = {x.doc_id: set(x.deleted) for x in line_dedup.dedup_lines(docs_of(spark, rows)).collect()}
+    split = {i: t.split("\n") for i, t, _ in rows}
+    found = lost = 0
+    for i, mine in split.items():
+        for a, b in line_dedup.runs([len(x.split()) for x in mine], 5):
+            earlier = any(mine[a:b] == split[j][k : k + b - a] for j in range(i) for k in range(len(split[j])))
+            found, lost = found + earlier, lost + (earlier and not got[i] & set(range(a, b)))
+    assert found > 50 and not lost
+    for i, gone in got.items():  # and nothing goes that no earlier document has
+        assert all(any(split[i][k] in split[j] for j in range(i)) for k in gone)
+
+
+def test_a_first_holder_with_many_later_ones(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "BLOCK", 8)
+    common = text(12)
+    rows = [(i, f"{text(4)}\n{common}\n{text(3)}", "a") for i in range(50)]
+    got = {x.doc_id: list(x.deleted) for x in line_dedup.dedup_lines(docs_of(spark, rows)).collect()}
+    assert got == {i: [1] if i else [] for i in range(50)}
+
+
 def test_runs_cover_every_block():
     for _ in range(300):
         words = [rng.randint(1, 7) for _ in range(rng.randint(0, 9))]
@@ -146,38 +183,70 @@ def test_url_verdicts_spread_from_hosts_with_few_ruled_pages(spark):
     assert verdicts([(i, u, "" if i == 5 else h) for i, u, h in both])[10] == "block"
 
 
+def test_propagation_is_personalised_pagerank(spark):
+    """Against the linear system, on a graph with a hub, a ring, sinks and hosts of their own."""
+    hosts = [f"h{i}" for i in range(40)]
+    edges = [(hosts[0], h, 1.0) for h in hosts[1:25]] + [(h, hosts[0], 2.0) for h in hosts[5:15]]
+    edges += [(hosts[i], hosts[25 + (i - 24) % 8], 1.0) for i in range(25, 33)] + [(hosts[3], hosts[25], 3.0), (hosts[33], hosts[34], 1.0)]
+    seeds = [("trust", hosts[i], w) for i, w in ((0, 0.25), (3, 0.5), (38, 0.25))] + [("distrust", hosts[i], 0.5) for i in (26, 34)]
+    got = url_filter.propagate(
+        spark.createDataFrame(seeds, "kind string, host string, seed double"), spark.createDataFrame(edges, "src string, dst string, w double")
+    )
+    got = {(x.kind, x.host): x.score for x in got.collect()}
+    for kind in ("trust", "distrust"):
+        m, s, d = np.zeros((40, 40)), np.zeros(40), url_filter.DAMPING
+        for a, b, w in edges:
+            a, b = (int(x[1:]) for x in ((a, b) if kind == "trust" else (b, a)))
+            m[b, a] += w
+        m /= np.maximum(m.sum(0), 1e-300)
+        for k, h, w in seeds:
+            s[int(h[1:])] += w * (k == kind)
+        want = np.linalg.solve(np.eye(40) - d * m, (1 - d) * s)
+        assert sum(abs(got.get((kind, f"h{i}"), 0) - want[i]) for i in range(40)) < 1e-5
+        assert want.max() > 0.02
+
+
 def test_tokens_are_those_of_the_named_tokenizer():
+    import pyarrow.parquet as pq
     import public_tokenizers
     from tokenizers import Tokenizer
 
     exact, own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), packing.encoder(packing.vocabulary())
-    for t in ["", "a  b", "x\n  y", " it's 12 é <|endoftext|> b", *(text(20) for _ in range(20))]:
+    texts = ["", "a  b", "x\n  y", " it's 12 é <|endoftext|> b", *(text(20) for _ in range(20)), " " * 1_000_000 + "a", "x" + "\n" * 999 + "y",
+             "a\u3000" * 5000, "b" * 100_000, "1" * 9999, "?!" * 9999]
+    texts += [x or "" for x in pq.read_table("/root/testdata/sf0.001/documents.parquet")["text"].to_pylist()]
+    for t in texts:
         assert np.frombuffer(own.ids(t), "<u4").tolist() == exact.encode(t, add_special_tokens=False).ids
 
 
-def test_plan_is_best_fit_decreasing():
-    for _ in range(60):
-        cap = rng.choice([5, 17, 64])
-        lengths = [rng.randint(1, cap) for _ in range(rng.randint(0, 200))]
-        gaps = []
-        for n in sorted(lengths, reverse=True):
-            fit = min((g for g in gaps if g >= n), default=None)
-            if fit is not None:
-                gaps.remove(fit)
-            gaps.append((fit if fit is not None else cap) - n)
-        counts, used = Counter(lengths), defaultdict(list)
-        runs = sorted(packing.plan(dict(counts), cap))
-        for k, (n, rank, seq, offset) in enumerate(runs):
-            end = runs[k + 1][1] if k + 1 < len(runs) and runs[k + 1][0] == n else counts[n]
-            for i in range(end - rank):
-                used[seq + i].append((offset, n))
-        assert len(used) == len(gaps)
-        for parts in used.values():
-            at = 0
-            for offset, n in sorted(parts):
-                assert offset == at
-                at += n
-            assert at <= cap
+def best_fit_decreasing(lengths, cap):
+    """The gaps of the sequences."""
+    gaps = []
+    for n in sorted(lengths, reverse=True):
+        at = bisect.bisect_left(gaps, n)
+        bisect.insort(gaps, (gaps.pop(at) if at < len(gaps) else cap) - n)
+    return gaps
+
+
+@pytest.mark.parametrize(("cap", "n", "most"), [(7, 60, 7), (1024, 2500, 700), (1024, 0, 9)])
+def test_sweeps_pack_like_best_fit_decreasing(spark, cap, n, most):
+    lengths = [rng.randint(1, most) if rng.random() < 0.7 else rng.choice([1, 2, most, most // 3 + 1]) for _ in range(n)]
+    docs = spark.createDataFrame(list(enumerate(lengths)), "id bigint, length bigint").checkpoint()
+    got, by = packing.places(docs, cap).collect(), defaultdict(list)
+    assert sorted(x.id for x in got) == list(range(n))
+    for x in got:
+        by[x.seq].append((x.offset, lengths[x.id]))
+    for parts in by.values():
+        assert [o for o, _ in sorted(parts)] == [sum(m for _, m in sorted(parts)[:i]) for i in range(len(parts))]
+        assert sum(m for _, m in parts) <= cap
+    want = len(best_fit_decreasing(lengths, cap))
+    assert len(by) <= want * 1.01 + 1, (len(by), want)
+
+
+def test_bands_cover_all_lengths():
+    for cap in (1, 2, 3, 5, 17, 64, 1000, 1024, 4096):
+        got = packing.bands(cap)
+        assert got[0][1] == cap and got[-1][0] == 0 and all(a[0] == b[1] for a, b in zip(got, got[1:], strict=False))
 
 
 def test_packing(spark, odd):
@@ -208,6 +277,25 @@ def test_search_finds_the_nearest(spark):
     assert neighbours.search(df.limit(0), F.col("id") % 20 == 0).count() == 0
 
 
+def test_search_fills_every_query(spark):
+    """Two far clusters of unequal size, equal vectors and repeated rows: all have as many rows as there are, in order."""
+    g = np.random.default_rng(4)
+    v = np.concatenate([g.normal(size=(300, 8)) + 9, -9 - g.normal(size=(5, 8))]).astype(np.float32)
+    v[7] = v[8] = v[9]
+    rows = [(i, x.tolist()) for i, x in enumerate(v)]
+    df = spark.createDataFrame([*rows, rows[0], rows[300]], "vec_id bigint, embedding array<float>")
+    got = defaultdict(list)
+    for x in neighbours.search(df, F.col("id") % 20 == 0, n=50).collect():
+        got[x.query_id].append((x.rank, -x.score, x.vec_id))
+    exact = v.astype(np.float64) @ v.astype(np.float64).T
+    for q in range(0, 305, 20):
+        found = sorted(got[q])
+        assert [r for r, _, _ in found] == list(range(1, 51)) and [x[1:] for x in found] == sorted(x[1:] for x in found)
+        assert all(abs(-s - exact[q, i]) < 1e-9 for _, s, i in found)
+    few = neighbours.search(df.filter("vec_id in (0, 1, 2)"), F.col("id") == 0).collect()
+    assert [(x.rank, x.vec_id) for x in sorted(few, key=lambda x: x.rank)] == [(r + 1, i) for r, i in enumerate(sorted((1, 2), key=lambda i: -exact[0, i]))]
+
+
 def test_language(spark):
     rows = [(i, " ".join(rng.choice(w) for _ in range(12)), lang) for i in range(120)
             for lang, w in [rng.choice([("x", ["the", "and", "this"]), ("y", ["oui", "être", "pour"])])]]
@@ -216,10 +304,25 @@ def test_language(spark):
     assert all(got[i].lang_pred == lang for i, _, lang in rows)
     assert (got[500].lang_pred, got[500].score, got[501].lang_pred) == ("und", 0.0, "und")
     assert langid.identify(df.limit(0)).count() == 0
-    letters, long = langid.Letters.one(), text(3000)
-    (_, kinds, counts), = letters.counted([long])
-    more, total = letters._sparse(long)
-    assert (kinds == more).all() and (counts == total).all()
+
+
+def test_language_triples_and_bundles():
+    letters = langid.Letters.one()
+    for sample in ["Яблоко да груша, ёлка", "مرحبا بالعالم", "日本語の文章です", "Größe ΣΊΣΥΦΟΣ"]:
+        assert (letters.slots[[ord(c) for c in sample if c.isalpha()]] > 0).all()
+    assert len(set(letters.slots[0x430:0x450])) == 32 and letters.slots[ord("Я")] == letters.slots[ord("я")]
+    assert len({*letters.slots[97:123], *letters.slots[0x3B1:0x3C2], *letters.slots[0x627:0x63B]}) == 26 + 17 + 20
+    words = [text(30), "", "ab 12 çà", "Б" * 9]
+    (i, n, doc, triple, count), = letters.counted(words)
+    whole = [letters._long(w) for w in words]
+    for k, (kinds, total) in enumerate(whole):
+        assert (triple[doc == k] == kinds).all() and (count[doc == k] == total).all()
+    slow = np.zeros((4, langid.DIM))
+    for d, x, c in zip(doc, triple, count, strict=True):  # a triple's vector is the product of its letters', permuted
+        a, b, z = x >> 24, x >> 12 & 4095, x & 4095
+        slow[d] += c * np.roll(letters.third[a], 2).astype(int) * np.roll(letters.third[b], 1) * letters.third[z]
+    assert (letters.bundles(n, doc, triple, count.astype(np.float64)) == slow).all()
+    assert len(letters._long("a" * (langid.SLICE + 5))[0]) == 3
 
 
 def test_mixing(spark, odd):
