@@ -9,40 +9,44 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.llm import langid, line_dedup, mixing, near_dedup, packing
-from palimpsest.llm.common import cut, read
-
-#: A text of this many words or more that resembles no language by this much is no text in any of them.
-SURE_WORDS, LEAST_SCORE = 50, 0.1
+from palimpsest.llm.common import carried, cut, read
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without a letter, and long ones that resemble none of the languages learned from docs; a document
-    without a language gets the predicted one. If no language could be learned, all texts with a letter stay as they are."""
+    """Drops the texts that are in no language: those without a letter. A document without a language gets the predicted
+    one. If no language could be learned, all texts with a letter stay as they are.
+
+    Null and empty texts have no letter. Repeated rows share their fate. Columns beside doc_id, text and lang do not matter
+    and stay."""
     learned = langid.learned(docs)
     if not learned:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
-    told = langid.tell(docs.withColumn("_t", F.col("text")), learned)
+    told = langid.tell(carried(docs, text=F.col("text")), learned)
     known = F.col("lang_pred") != langid.UNKNOWN
-    like = (F.col("score") >= LEAST_SCORE) | (mixing.words(F.col("_t")) < SURE_WORDS)
-    out = told.filter(known & like).withColumns({"text": F.col("_t"), "lang": F.coalesce("lang", "lang_pred")})
-    return out.select(*docs.columns)
+    now = {"lang": F.coalesce("row.lang", "lang_pred")}
+    return told.filter(known).select(*(now.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Deletes blocks of lines that an earlier document has; a document of which nothing is left goes."""
-    out = line_dedup.dedup_lines(docs)
+    """Deletes blocks of lines that an earlier document has; a document of which nothing is left goes.
+
+    Null texts and texts without a line that is not blank stay. Rows alike in id and text are one document."""
+    out = line_dedup.deduped(docs)
     left = (F.size("deleted") == 0) | (F.size("deleted") < F.col("n_lines"))
-    return out.filter(left).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    now = {"text": F.col("text"), "n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)}
+    return out.filter(left).select(*(now.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the row with the smallest id, null last, of each group of near duplicates; rows alike in id and text count
-    once. Rows are told apart by numbers in that order, as ids may be null or repeated."""
-    rows = docs.dropDuplicates(["doc_id", "text"]).orderBy(F.col("doc_id").asc_nulls_last(), F.xxhash64("text"))
-    rows = cut(rows.withColumn("_row", F.monotonically_increasing_id()))
-    found = near_dedup.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"))
-    kept = found.filter("kept").select(F.col("doc_id").alias("_row"))
-    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
+    once. Rows are told apart by numbers in that order, as ids may be null or repeated. Null and blank texts link with
+    nothing and stay."""
+    rows = carried(docs.dropDuplicates(["doc_id", "text"]), doc_id=F.col("doc_id"), text=F.col("text"))
+    rows = rows.orderBy(F.col("doc_id").asc_nulls_last(), F.xxhash64("text"))
+    rows = cut(rows.select("row", F.monotonically_increasing_id().alias("id")))
+    found = near_dedup.near_duplicates(rows.select(F.col("id").alias("doc_id"), "row.text"))
+    kept = found.filter("kept").select(F.col("doc_id").alias("id"))
+    return rows.join(kept, "id", "left_semi").select(*(F.col(f"row.`{c}`") for c in docs.columns))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
