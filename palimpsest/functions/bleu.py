@@ -28,8 +28,11 @@ def bleu(reference: list[str], candidate: list[str], order: int = 4) -> float:
     return penalty * math.exp(logs)
 
 
-@F.pandas_udf(DoubleType())
-def bleu_score(old: pd.Series, new: pd.Series) -> pd.Series:
+def _scores(old: pd.Series, new: pd.Series) -> pd.Series:
     """Old text as reference, new text as candidate; null counts as empty."""
     pairs = zip(old.fillna(""), new.fillna(""), strict=True)
     return pd.Series([bleu(_TOKEN.findall(a), _TOKEN.findall(b)) for a, b in pairs], dtype="float64")
+
+
+#: Named non-deterministic only so that filters on the score do not compute it once more.
+bleu_score = F.pandas_udf(_scores, DoubleType()).asNondeterministic()

@@ -10,7 +10,7 @@ from palimpsest.functions import text as X
 from palimpsest.functions.bleu import bleu_score
 from palimpsest.functions.comments import is_fa_edit
 from palimpsest.functions.distance import edit_distance
-
+from palimpsest.session import stored
 
 
 def _old() -> Column:
@@ -116,6 +116,7 @@ def cut_bleu(df: DataFrame, threshold: Callable[[Column], Column] | float) -> Da
     """Keeps threshold < score < 1. A callable is an aggregate over all scores, such as a percentile."""
     df = with_bleu(df)
     if callable(threshold):
+        df = stored(df)  # scored once, read for the threshold and for the filter
         cut = df.agg(threshold(F.col("bleu_score")).alias("_cut"))
         df = df.crossJoin(F.broadcast(cut))  # one row
     else:

@@ -6,15 +6,11 @@ from pyspark.sql import functions as F
 from palimpsest.functions.comments import is_fa_edit
 from palimpsest.operators import revisions as r
 from palimpsest.operators import sections as s
+from palimpsest.session import stored
 
 DIFF = ["page_title", "page_id", "rev_id", "prev_rev_id", "timestamp", "contributor", "comment", "section", "old_text", "new_text"]
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """df, written once if the session has a checkpoint folder: what is costly and used twice is not computed twice."""
-    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df
-
-
 def extract(revs: DataFrame, titles: DataFrame) -> DataFrame:
     """Revisions of the listed pages."""
     return r.keep_titles(revs, titles)

@@ -23,7 +23,7 @@ LEAD = W.LEAD
     [
         ("<!-- a -->\nText<!-- b --> on.", "Text on."),
         ("{{Infobox x\n|a=[[b]]\n|c={{d}}}}\n\n'''Bold''' and ''slanted''.", 'Bold and "slanted".'),
-        ("A [[Target page|label]] and [[plain]] [http://a.b/c shown] &amp; &nbsp;x", "A label and plain shown &   x"),
+        ("A [[Target page|label]] and [[plain]] [http://a.b/c shown] &amp; &nbsp;x", "A label and plain shown &  x"),
         ("One[[File:x.png|thumb|a [[b]] c]] two. [[Category:Z]]", "One two."),
         ("A<ref name='x'>b</ref> c<ref name=y/> d.", "A c d."),
         ("a\n{| class='x'\n| b {{c}}\n|}\nd", "a\n\nd"),
