@@ -116,7 +116,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int
 
 def bands(capacity: int) -> list[tuple[int, int]]:
     """(over, up to) lengths, from long to short: shares of the capacity, fine ones first, then halves."""
-    shares, k = [1, 2, 3, 4, 5, 6, 8, 10, 12, 16, 24], 32
+    shares, k = [1, 2, 3, 4, 6, 8, 12, 16], 32
     while k < capacity:
         shares.append(k)
         k *= 2
