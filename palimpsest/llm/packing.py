@@ -34,6 +34,9 @@ NAMED, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 BUCKETS = 64
 #: A sweep that places no more than one in so many of what it leaves is a band's last.
 END_SWEEPS = 10
+#: Rows of a sweep that one task takes: its tables are slim, and tasks, files and shuffle blocks far below this size cost
+#: more than they carry. Never more tasks than the session's shuffles have.
+TASK_ROWS = 1 << 15
 #: White space without a break that the fast library cannot take.
 LONG_SPACE = re.compile(r"\s{1000}")
 
@@ -124,18 +127,34 @@ def bands(capacity: int) -> list[tuple[int, int]]:
     return list(zip([*tops[1:], 0], tops, strict=True))
 
 
-def _ranked(rows: DataFrame, group: list[str], sub: list[str]) -> DataFrame:
+def _ranked(rows: DataFrame, group: list[str], sub: list[str], tasks: int, more=lambda start: start) -> DataFrame:
     """rows with `r`, their rank (from 1) within a group: by `sub`, a bucket of a hash, and id. The table of counts has at
-    most as many rows as there are groups, subs and buckets, all bounded by the capacity."""
+    most as many rows as there are groups, subs and buckets, all bounded by the capacity; `more` adds columns to it."""
     rows = rows.withColumn("b", F.pmod(F.xxhash64("id", "j"), F.lit(BUCKETS)).cast("int"))
     keys = [*group, *sub, "b"]
     before = Window.partitionBy(*group).orderBy(*sub, "b").rowsBetween(Window.unboundedPreceding, -1)
-    start = rows.groupBy(*keys).agg(F.count("*").alias("n")).select(*keys, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("o"))
+    start = rows.groupBy(*keys).agg(F.count("*").alias("n")).coalesce(1)
+    start = more(start.withColumn("o", F.coalesce(F.sum("n").over(before), F.lit(0)))).drop("n")
     own = F.row_number().over(Window.partitionBy(*keys).orderBy("id", "j"))
-    return rows.withColumn("r", own).join(F.broadcast(start), keys).withColumn("r", F.col("r") + F.col("o")).drop("o", "b")
+    return rows.withColumn("r", own).coalesce(tasks).join(F.broadcast(start), keys).withColumn("r", F.col("r") + F.col("o")).drop("o", "b")
 
 
-def _sweep(docs: DataFrame, gaps: DataFrame, low: int, top: int, capacity: int) -> DataFrame:
+def _open_before(start: DataFrame) -> DataFrame:
+    """start: counts `n` by opens, size and more. Adds `open`, the places open before a size, and `s`, those of the size."""
+    down = Window.orderBy(F.desc("size"))
+    longer = down.rangeBetween(Window.unboundedPreceding, -1)
+    change = F.when(F.col("opens"), F.col("n")).otherwise(-F.col("n"))
+    sums = start.withColumns({
+        "p": F.sum(change).over(down.rangeBetween(Window.unboundedPreceding, Window.currentRow)),
+        "q": F.coalesce(F.sum(change).over(longer), F.lit(0)),
+        "s": F.coalesce(F.sum(F.when(F.col("opens"), F.col("n"))).over(Window.partitionBy("size")), F.lit(0)),
+    })
+    # documents that found no place are gone: the level never falls below zero
+    low = F.least(F.coalesce(F.min("p").over(longer), F.lit(0)), F.lit(0))
+    return sums.withColumn("open", F.col("q") - low).drop("p", "q")
+
+
+def _sweep(docs: DataFrame, gaps: DataFrame, low: int, top: int, capacity: int, tasks: int) -> DataFrame:
     """docs: id, length (over low, up to top). gaps: seq, gap. Gives id, seq, offset, length of the documents placed."""
     places = F.greatest(F.floor(F.col("gap") / top), F.lit(1))
     slots = gaps.filter(F.col("gap") > low).select(
@@ -147,29 +166,23 @@ def _sweep(docs: DataFrame, gaps: DataFrame, low: int, top: int, capacity: int)
         F.lit(None).cast("bigint").alias("gap"),
     )
     items = slots.unionByName(closing)
-    # one row for each length: how many places are open before it, none below zero
-    down = Window.orderBy(F.desc("size"))
-    sizes = items.groupBy("size").agg(F.count_if("opens").alias("s"), F.count_if(~F.col("opens")).alias("d"))
-    sizes = sizes.withColumn("p", F.sum(F.col("s") - F.col("d")).over(down)).withColumn("low", F.min("p").over(down))
-    sizes = sizes.withColumn("after", F.col("p") - F.least(F.lit(0), F.col("low")))
-    sizes = sizes.select("size", "s", F.lag("after", 1, 0).over(down).alias("open"))
-    placed = _ranked(items, ["opens", "size"], ["sub"]).join(F.broadcast(sizes), "size")
+    placed = _ranked(items, ["opens", "size"], ["sub"], tasks, _open_before)
     level = F.when(F.col("opens"), F.col("open") + F.col("r")).otherwise(F.col("open") + F.col("s") - F.col("r") + 1)
     placed = placed.withColumn("level", level).filter("level >= 1")
     order = Window.partitionBy("level").orderBy(F.desc("size"), F.desc("opens"))  # a length stands on a level twice at most
     slot = F.last(F.when(F.col("opens"), F.struct(F.col("id").alias("seq"), F.col("gap"))), ignorenulls=True).over(order)
-    met = placed.withColumn("to", slot).filter("not opens").select("id", F.col("size").alias("length"), "to.seq", "to.gap")
+    met = placed.withColumn("to", slot).filter("not opens").coalesce(tasks).select("id", F.col("size").alias("length"), "to.seq", "to.gap")
     within = Window.partitionBy("seq").orderBy(F.desc("length"), "id").rowsBetween(Window.unboundedPreceding, -1)
     offset = capacity - F.col("gap") + F.coalesce(F.sum("length").over(within), F.lit(0))
-    return met.select("id", "seq", offset.alias("offset"), "length")
+    return met.select("id", "seq", offset.alias("offset"), "length").coalesce(tasks)
 
 
-def _opened(docs: DataFrame, top: int, capacity: int) -> DataFrame:
+def _opened(docs: DataFrame, top: int, capacity: int, tasks: int) -> DataFrame:
     """New sequences for documents of up to `top` tokens, in groups of neighbouring ranks. As `_sweep` gives them."""
-    ranked = _ranked(docs.select("id", "length", F.lit(0).alias("j"), (-F.col("length")).alias("sub"), F.lit(0).alias("all")), ["all"], ["sub"])
+    ranked = _ranked(docs.select("id", "length", F.lit(0).alias("j"), (-F.col("length")).alias("sub"), F.lit(0).alias("all")), ["all"], ["sub"], tasks)
     group = Window.partitionBy(F.floor((F.col("r") - 1) / (capacity // top)))
     before = group.orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
-    return ranked.select("id", F.min("id").over(group).alias("seq"), F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset"), "length")
+    return ranked.select("id", F.min("id").over(group).alias("seq"), F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset"), "length").coalesce(tasks)
 
 
 def _left(gaps: DataFrame, placed: DataFrame) -> DataFrame:
@@ -180,26 +193,28 @@ def _left(gaps: DataFrame, placed: DataFrame) -> DataFrame:
 
 def places(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """docs: id, length (1 to capacity), checkpointed. Gives id, seq, offset of each."""
-    done = [docs.filter(F.col("length") == capacity).select("id", F.col("id").alias("seq"), F.lit(0).cast("bigint").alias("offset"))]
     have = {r[0]: r[1] for r in docs.groupBy("length").count().collect()}  # at most `capacity` rows
+    tasks = max(1, -(-sum(have.values()) // TASK_ROWS))
+    docs = cut(docs.coalesce(tasks))
+    done = [docs.filter(F.col("length") == capacity).select("id", F.col("id").alias("seq"), F.lit(0).cast("bigint").alias("offset"))]
     gaps = None
     for low, top in bands(capacity):
         left = sum(n for length, n in have.items() if low < length <= top and length < capacity)
         band = docs.filter((F.col("length") > low) & (F.col("length") <= top) & (F.col("length") < capacity))
         while left and gaps is not None:
-            new = cut(_sweep(band, gaps, low, top, capacity))
+            new = cut(_sweep(band, gaps, low, top, capacity, tasks))
             n = new.count()
             done.append(new.drop("length"))
             if n:
-                gaps, left = cut(_left(gaps, new)), left - n
-                band = cut(band.join(new.select("id"), "id", "left_anti")) if left else band
+                gaps, left = cut(_left(gaps, new).coalesce(tasks)), left - n
+                band = cut(band.join(new.select("id"), "id", "left_anti").coalesce(tasks)) if left else band
             if n <= left // END_SWEEPS:
                 break
         if left:
-            new = cut(_opened(band, top, capacity))
+            new = cut(_opened(band, top, capacity, tasks))
             done.append(new.drop("length"))
             opened = new.groupBy("seq").agg((capacity - F.sum("length")).alias("gap")).filter("gap > 0")
-            gaps = cut(opened if gaps is None else gaps.unionByName(opened))
+            gaps = cut((opened if gaps is None else gaps.unionByName(opened)).coalesce(tasks))
     out = done[0]
     for x in done[1:]:
         out = out.unionByName(x)
