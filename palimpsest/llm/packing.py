@@ -191,6 +191,18 @@ def _left(gaps: DataFrame, placed: DataFrame) -> DataFrame:
     return gaps.join(used, "seq", "left").select("seq", (F.col("gap") - F.coalesce("u", F.lit(0))).alias("gap")).filter("gap > 0")
 
 
+def _widest(gaps: DataFrame, top: int, wanted: int) -> int:
+    """The gap up to which places of `top` tokens suffice for `wanted` documents: a wider one gets none, as the smallest
+    that holds a document is taken first."""
+    have = gaps.filter(F.col("gap") >= top).groupBy("gap").count().collect()  # at most `capacity` rows
+    widest = 0
+    for gap, n in sorted(map(tuple, have)):
+        if wanted <= 0:
+            break
+        widest, wanted = gap, wanted - n * (gap // top)
+    return max(widest, top)
+
+
 def places(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """docs: id, length (1 to capacity), checkpointed. Gives id, seq, offset of each."""
     have = {r[0]: r[1] for r in docs.groupBy("length").count().collect()}  # at most `capacity` rows
@@ -202,7 +214,8 @@ def places(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         left = sum(n for length, n in have.items() if low < length <= top and length < capacity)
         band = docs.filter((F.col("length") > low) & (F.col("length") <= top) & (F.col("length") < capacity))
         while left and gaps is not None:
-            new = cut(_sweep(band, gaps, low, top, capacity, tasks))
+            near = gaps.filter(F.col("gap") <= _widest(gaps, top, left))
+            new = cut(_sweep(band, near, low, top, capacity, tasks))
             n = new.count()
             done.append(new.drop("length"))
             if n:
