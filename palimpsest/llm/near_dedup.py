@@ -1,14 +1,13 @@
 """Near duplicates: minima of many universal hashes, banding, verification by signature and on full shingle sets,
 components by alternating large-star and small-star.
 
-Documents of one shingle set form a class and go on as one. In a band's bucket no group is expanded into its pairs: the
-bucket is ordered by the minima that follow the band's own, so that classes with more minima in common stand together
-(a longer prefix, as in an LSH forest), and every class meets the next one. Links are confirmed on full sets and joined
-to components. Then every class meets those of the next REACH ones in its bucket that are of other components; buckets
-of REACH + 1 classes or fewer have met in full by that. Larger ones are ordered anew by other minima, until a turn joins
-next to nothing (REST). So a turn has at most REACH pairs for each row of a bucket, whatever the bucket's size. With 32
-bands of 4 minima a pair at the threshold shares no bucket with a chance of 5e-8; how often a class of a large bucket
-stays apart from its component is told in the README.
+Documents of one shingle set form a class and go on as one. Two quick turns join most classes: a band's bucket is ordered
+by the minima that follow the band's own, so that classes with more minima in common stand together (a longer prefix, as
+in an LSH forest), and every class meets the next one; links are confirmed on full sets and joined to components. Then
+every class meets those of the next REACH ones in its bucket that are of other components; buckets of REACH + 1 classes
+or fewer have met in full by that. In larger ones then all pairs meet that are still of different components, in blocks
+within one task each: no pair is a row, and none is left out, whatever the bucket's size. With 32 bands of 4 minima a
+pair at the threshold shares no bucket with a chance of 5e-8.
 
 Defined cases: null, empty or blank text has no shingles and links with nothing; a text of fewer words than a shingle
 is one shingle; repeated rows and ids are each a row of the result; the component's id is its least doc_id that is not
@@ -25,15 +24,12 @@ from palimpsest.llm.components import components
 from palimpsest.llm.shingles import Minima, scramble, set_print, shingle_set, text_words
 
 BANDS, ROWS = 32, 4
-#: Signature agreement below which a pair is no link: the threshold less four standard errors (one link in 30,000).
-SLACK = 4
-#: Places that a class looks ahead in its bucket, and rows of a bucket ordered in one task.
-REACH, BLOCK = 4, 4096
-#: Of the 16 bytes that order a bucket, so many may differ: at the threshold four of five meetings pass, and a pair
-#: whose meetings all fail has a chance of 3e-6.
-DEEP = 5
-#: Turns end when one joins no more than one in so many classes that it looked at.
-REST = 1000
+#: Signature agreement below which a pair is no link: the threshold less five standard errors (one link in 2,000,000).
+SLACK = 5
+#: Places that a class looks ahead in its bucket in the quick turns, and rows of a bucket that meet in one task.
+REACH, BLOCK = 4, 2048
+#: Shingles compared at once.
+AT_ONCE = 1 << 20
 
 
 def signature(least: np.ndarray) -> np.ndarray:
@@ -98,6 +94,103 @@ def _linked(percent: int):
     return run
 
 
+def _most(percent: int) -> int:
+    """How many bytes of two signatures may differ."""
+    t, m = percent / 100, BANDS * ROWS
+    return m - int((t - SLACK * (t * (1 - t) / m) ** 0.5) * m)
+
+
+def _shared(x: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each of the other sets has in common with x."""
+    out, at = np.zeros(len(others), np.int64), 0
+    ends = np.cumsum([len(o) for o in others])
+    while at < len(others):
+        before = int(ends[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + AT_ONCE, "right")))
+        y = np.concatenate(others[at:to])
+        hit = x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y
+        out[at:to] = np.add.reduceat(hit, np.r_[0, ends[at : to - 1] - before], dtype=np.int64)
+        at = to
+    return out
+
+
+def _groups(batches):
+    """The rows of each (h, g1, g2), which come one after the other, as one table."""
+    held, last = [], None
+    for b in batches:
+        key = np.column_stack([b.column(x).to_numpy() for x in ("h", "g1", "g2")])
+        at = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1), len(key)]
+        for i, j in zip(at[:-1], at[1:], strict=True):
+            if i == j:
+                continue
+            if held and (key[i] != last).any():
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(b.slice(i, j - i))
+            last = key[i]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+class _Group:
+    """Two blocks of a bucket, or one with itself. `c` is each row's component, and may change between two rows."""
+
+    def __init__(self, t: pa.Table, percent: int):
+        self.n, self.c, self.g, self.band = (t.column(x).to_numpy().copy() for x in ("n", "c", "g", "band"))
+        self.sig, self.bands = (t.column(x).combine_chunks().flatten().to_numpy().reshape(len(t), -1) for x in ("sig", "bands"))
+        self.sig, self.percent, self.most = self.sig.view(np.uint8), percent, _most(percent)
+        self.one = t.column("g1")[0].as_py() == t.column("g2")[0].as_py()
+
+    def pairs(self):
+        """Yields each row and those of other components that may be linked with it and meet it here first: pairs that
+        share several buckets meet in that of the least band."""
+        if (self.c == self.c[0]).all():
+            return
+        for i in range(len(self.c)):
+            if self.one:
+                j = np.flatnonzero(self.c[i + 1 :] != self.c[i]) + i + 1
+            else:
+                j = np.flatnonzero((self.c != self.c[i]) & (self.g > self.g[i]))
+            n, own = self.n[j], self.n[i]
+            j = j[np.minimum(n, own) * 100 >= np.maximum(n, own) * self.percent]
+            j = j[(self.sig[j] != self.sig[i]).sum(axis=1) <= self.most]
+            j = j[(self.bands[j] == self.bands[i]).argmax(axis=1) == self.band[i]]
+            if len(j):
+                yield i, j
+
+
+def _facing(percent: int):
+    """Of each group the rows that have a pair."""
+
+    def run(batches):
+        for t in _groups(batches):
+            use = np.zeros(len(t), bool)
+            for i, j in _Group(t, percent).pairs():
+                use[i] = use[j] = True
+            if use.any():
+                yield from t.select(["h", "g1", "g2", "g", "band", "cid", "c"]).filter(pa.array(use)).to_batches()
+
+    return run
+
+
+def _joining(percent: int):
+    """Links, on the full sets, that join two components of a group."""
+
+    def run(batches):
+        for t in _groups(batches):
+            x, cid, u, v = _Group(t, percent), t.column("cid").to_numpy(), [], []
+            sets = _sets_of(t.column("body").combine_chunks())
+            for i, j in x.pairs():
+                both = _shared(sets[i], [sets[z] for z in j])
+                for z in j[both * 100 >= (x.n[i] + x.n[j] - both) * percent]:
+                    if x.c[z] != x.c[i]:
+                        x.c[x.c == x.c[z]] = x.c[i]
+                        u.append(cid[i]), v.append(cid[z])
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+
+    return run
+
+
 def _unequal(a, b):
     """How many bytes of two longs differ: each byte's bits are folded into its lowest one."""
     x = a.bitwiseXOR(b)
@@ -107,13 +200,10 @@ def _unequal(a, b):
 
 
 def _near(x, z, percent: int):
-    """Whether sizes and signatures of two neighbours allow a link; the bytes that ordered them come first."""
-    t, m = percent / 100, BANDS * ROWS
+    """Whether sizes and signatures of two neighbours allow a link."""
     size = F.least(x.n, z.n) * 100 >= F.greatest(x.n, z.n) * percent
-    deep = _unequal(x.d1, z.d1) + _unequal(x.d2, z.d2) <= DEEP
     differ = F.aggregate(F.zip_with(x.sig, z.sig, _unequal), F.lit(0), lambda s, d: s + d)
-    alike = differ <= m - int((t - SLACK * (t * (1 - t) / m) ** 0.5) * m)
-    return (z.c != x.c) & F.when(size & deep, alike).otherwise(False)
+    return F.when((z.c != x.c) & size, differ <= _most(percent)).otherwise(False)
 
 
 def _fetched(ids: DataFrame, docs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
@@ -133,15 +223,18 @@ def _confirmed(maybe: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return cut(x.select("a", "b", "body_a", "body_b").mapInArrow(_linked(percent), "a bigint, b bigint").toDF("u", "v"))
 
 
-def _partners(rows: DataFrame, classes: DataFrame, reach: int, turn: int, percent: int) -> DataFrame:
+def _block():
+    """The block of a row: a bucket of more than BLOCK rows is dealt at random to several."""
+    return F.pmod(F.xxhash64("cid", "h"), F.ceil(F.col("m") / BLOCK))
+
+
+def _partners(rows: DataFrame, classes: DataFrame, reach: int, percent: int) -> DataFrame:
     """rows: h, m, band, cid, c. Distinct pairs (a, b) that may be links of classes of different c, at most `reach` places
-    apart in their bucket's order of this turn. A bucket of more than BLOCK rows is dealt at random to blocks, which are
-    ordered each. Signatures join the rows here only, and what leaves is pairs of numbers."""
+    apart in their block's order. Signatures join the rows here only, and what leaves is pairs of numbers."""
     longs = BANDS * ROWS // 8
-    at = [F.pmod(F.floor(F.col("band") / 2) + 1 + 2 * turn + d, F.lit(longs)).cast("int") + 1 for d in (0, 1)]
+    at = [F.pmod(F.floor(F.col("band") / 2) + 1 + d, F.lit(longs)).cast("int") + 1 for d in (0, 1)]
     rows = rows.join(classes.select("cid", "n", "sig"), "cid").withColumns({
-        "g": F.pmod(F.xxhash64("cid", "h", F.lit(turn)), F.ceil(F.col("m") / BLOCK)),
-        "d1": F.element_at("sig", at[0]), "d2": F.element_at("sig", at[1]),
+        "g": _block(), "d1": F.element_at("sig", at[0]), "d2": F.element_at("sig", at[1]),
     })
     order = Window.partitionBy("h", "g").orderBy("d1", "d2", "cid")
     it = F.struct("cid", "c", "n", "sig", "d1", "d2")
@@ -152,6 +245,19 @@ def _partners(rows: DataFrame, classes: DataFrame, reach: int, turn: int, percen
     return cut(met.select(F.least("cid", "z").alias("a"), F.greatest("cid", "z").alias("b")).distinct())
 
 
+def _remaining(rows: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """rows: h, m, band, cid, c. Links (u, v) that join classes of different c: all pairs of a bucket meet. Every block
+    meets every other one and itself, in one group each; sets go only to the rows that signatures leave."""
+    keys, kinds = ["h", "g1", "g2"], "h bigint, g1 bigint, g2 bigint, g bigint, band int, cid bigint, c bigint"
+    rows = rows.withColumn("g", _block()).withColumn("o", F.explode(F.sequence(F.lit(0), F.ceil(F.col("m") / BLOCK) - 1)))
+    rows = rows.select("h", F.least("g", "o").alias("g1"), F.greatest("g", "o").alias("g2"), "g", "band", "cid", "c")
+    dealt = lambda x: x.repartition(*keys).sortWithinPartitions(*keys)
+    about = classes.select("cid", "n", "sig", "bands")
+    left = cut(dealt(rows.join(about, "cid")).mapInArrow(_facing(percent), kinds))
+    found = dealt(left.join(about, "cid").join(sets, "cid")).mapInArrow(_joining(percent), "u bigint, v bigint")
+    return cut(found.distinct())
+
+
 def _with_component(shared: DataFrame, comps: DataFrame) -> DataFrame:
     """shared with c, the classes' component now. Buckets of one component give no pairs any more and go whole."""
     state = shared.join(comps.select(F.col("node").alias("cid"), "root"), "cid", "left")
@@ -165,20 +271,18 @@ def _links(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFra
     rows = classes.select(F.posexplode("bands").alias("band", "h"), "cid")
     many = rows.groupBy("h").agg(F.count("*").alias("m")).filter("m > 1")
     shared = cut(rows.join(many, "h"))  # the members of buckets with two classes or more
-    maybe = _partners(shared.withColumn("c", F.col("cid")), classes, 1, 0, percent)
-    open_, turn = shared.filter(F.col("m") > 2), 0
+    maybe = _partners(shared.withColumn("c", F.col("cid")), classes, 1, percent)
+    open_ = shared.filter(F.col("m") > 2)
     # all that later turns may meet is fetched with the first pairs, so the texts are shuffled once
     ids = maybe.select(F.explode(F.array("a", "b")).alias("cid")).unionByName(open_.select("cid")).distinct()
     sets = _fetched(ids, docs, classes, k)
     comps = components(_confirmed(maybe, sets, percent))
-    while True:
-        open_ = _with_component(open_.drop("c"), comps)
-        good = _confirmed(_partners(open_, classes, REACH, turn, percent), sets, percent)
-        comps = components(good.unionByName(comps.toDF("u", "v")))
-        # buckets of REACH + 1 classes have met in full; larger ones are ordered anew
-        open_, turn = open_.filter(F.col("m") > REACH + 1), turn + 1
-        if turn > 1 and good.count() * REST <= open_.select("cid").distinct().count():
-            return comps
+    open_ = _with_component(open_, comps)
+    good = _confirmed(_partners(open_, classes, REACH, percent), sets, percent)
+    comps = components(good.unionByName(comps.toDF("u", "v")))
+    # buckets of REACH + 1 classes have met in full
+    open_ = _with_component(open_.drop("c").filter(F.col("m") > REACH + 1), comps)
+    return components(_remaining(open_, classes, sets, percent).unionByName(comps.toDF("u", "v")))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:

@@ -387,6 +387,37 @@ def test_near_duplicates(spark, k):
     assert near_dedup.near_duplicates(docs_of(spark, rows).limit(0), k=k).count() == 0
 
 
+@pytest.mark.parametrize("block", [2048, 200])
+def test_links_within_large_groups_of_near_copies(spark, monkeypatch, block):
+    """Copies of one text that are a little too far from each other to be linked, and a few that are not: against all
+    pairs. Words are numbers, so a shingle stands at one place only."""
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    g = np.random.default_rng(11)
+    made = np.tile(np.arange(400), (1300, 1))
+    for i in range(1300):
+        if i >= 1288:  # a link to one of the others, just within the threshold
+            made[i] = made[i - 1288]
+        at = g.choice(400, 22 if i >= 1288 else 14, replace=False)
+        made[i, at] = 1000 * (i + 1) + at
+    alike = [((made[:, 1:] == w[1:]) & (made[:, :-1] == w[:-1])).sum(axis=1) for w in made]
+    root = np.arange(1300)
+    for b in range(1300):
+        for a in np.flatnonzero(alike[b][:b] * 100 >= (798 - alike[b][:b]) * 80):
+            lo, hi = sorted((root[a], root[b]))
+            root[root == hi] = lo
+    assert 12 <= (root != np.arange(1300)).sum() < 200
+    docs = docs_of(spark, [(i, " ".join(map(str, w)), "a") for i, w in enumerate(made.tolist())])
+    got = {x.doc_id: x.component_id for x in near_dedup.near_duplicates(docs, k=2).collect()}
+    assert got == dict(enumerate(root.tolist()))
+
+
+def test_common_shingles_are_counted_in_parts(monkeypatch):
+    monkeypatch.setattr(near_dedup, "AT_ONCE", 50)
+    g = np.random.default_rng(4)
+    sets = [np.unique(g.integers(0, 300, n, dtype=np.uint64)) for n in (40, 1, 200, 7, 60, 90)]
+    assert near_dedup._shared(sets[0], sets[1:]).tolist() == [len(np.intersect1d(sets[0], s)) for s in sets[1:]]
+
+
 def test_signatures_of_unrelated_large_sets_differ():
     g = np.random.default_rng(2)
     minima = near_dedup.Minima(near_dedup.BANDS, near_dedup.ROWS)
