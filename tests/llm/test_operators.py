@@ -454,3 +454,25 @@ def test_one_row_of_each_near_group_stays(spark):
     rows = [(1, a, "a"), (None, a + " x", "a"), (None, z, "a"), (None, None, "a"), (4, b, "a"), (7, b + " y", "a"), (7, "lone words", "a"), (7, "lone words", "a")]
     got = c.dedup_near(spark, docs_of(spark, rows), "").collect()
     assert {(x.doc_id, x.text) for x in got} == {(1, a), (None, z), (None, None), (4, b), (7, "lone words")} and len(got) == 5
+
+
+def test_pipeline_keeps_one_row_of_each_component_of_a_large_group(spark):
+    """As above, with the pipeline's shingles of five words: against all pairs."""
+    import corpus_pipeline as c
+
+    g = np.random.default_rng(12)
+    made = np.tile(np.arange(400), (1100, 1))
+    for i in range(1100):
+        if i >= 1088:
+            made[i] = made[i - 1088]
+        at = g.choice(400, 8 if i >= 1088 else 6, replace=False)
+        made[i, at] = 1000 * (i + 1) + at
+    root = np.arange(1100)
+    for b in range(1100):
+        same = made == made[b]
+        both = np.logical_and.reduce([same[:, d : 396 + d] for d in range(5)]).sum(axis=1)
+        for a in np.flatnonzero(both[:b] * 100 >= (792 - both[:b]) * 80):
+            lo, hi = sorted((root[a], root[b]))
+            root[root == hi] = lo
+    docs = docs_of(spark, [(i, " ".join(map(str, w)), "a") for i, w in enumerate(made.tolist())])
+    assert sorted(x.doc_id for x in c.dedup_near(spark, docs, "").collect()) == np.unique(root).tolist()
