@@ -7,7 +7,9 @@ however common, gives one pair for each later holder, never the pairs among its
 found by several runs count once. (So no run has to be left out for being common, and rare ones need no choosing.) Each
 pair's whole line sequences are aligned by patience diff (common heads and tails, then lines unique on both sides in their
 longest common order, then between those again; last come blocks that moved or stand once more), and the aligned blocks
-that hold MIN_WORDS words are deleted from the later document. Blank lines inside a block go with it.
+that hold MIN_WORDS words are deleted from the later document. An alignment may tear a shared run apart (of lines that
+stand several times), and no other pair would give it: so runs that are not in an aligned block are looked up among all
+of the first holder's, and go too. Blank lines inside a block go with it.
 
 A first holder's lines travel once for each BLOCK of its later holders, not with each of them, and such blocks are
 aligned in tasks of their own.
@@ -109,8 +111,23 @@ def _moved(a: list, b: list, pairs: list[tuple[int, int]]) -> list[tuple[int, in
     return out
 
 
+class Holder(list):
+    """The lines of a document, none of them blank, with its stretches of so many lines."""
+
+    def __init__(self, lines: list):
+        super().__init__(lines)
+        self._stretches: dict[int, set] = {}
+
+    def has(self, stretch: list) -> bool:
+        n = len(stretch)
+        if n not in self._stretches:  # a shortest run has `least` lines at most
+            self._stretches[n] = {tuple(self[i : i + n]) for i in range(len(self) - n + 1)}
+        return tuple(stretch) in self._stretches[n]
+
+
 def common_lines(a: list, b: list, words: list[int], least: int = MIN_WORDS) -> list[int]:
-    """Places in b of aligned blocks with `least` words or more; blocks that moved are aligned after the others."""
+    """Places in b of aligned blocks with `least` words or more; blocks that moved are aligned after the others. Then
+    those of the shortest runs that a has, too, and no aligned block holds."""
     out, block, size = [], [], 0
     last = (-2, -2)
     pairs = patience(a, b)
@@ -123,7 +140,9 @@ def common_lines(a: list, b: list, words: list[int], least: int = MIN_WORDS) ->
             block.append(j)
             size += words[j]
         last = (i, j)
-    return sorted(out)
+    done, a = set(out), a if isinstance(a, Holder) else Holder(a)
+    torn = [(i, j) for i, j in runs(words, least) if not done.issuperset(range(i, j)) and a.has(b[i:j])]
+    return sorted(done.union(*(range(i, j) for i, j in torn)))
 
 
 def without_lines(text: str, gone: list[int]) -> str:
@@ -195,13 +214,13 @@ def _aligned(least: int):
     """Rows come in runs: a first holder, then the later holders to be aligned with it."""
 
     def run(batches):
-        old: list[bytes] = []
+        old = Holder([])
         for b in batches:
             at, gone = [], []
             for k, (later, keys) in enumerate(zip(b.column("later").to_pylist(), b.column("keys"), strict=True)):
                 lines = _hashes(keys.as_py())
                 if not later:
-                    old = lines
+                    old = Holder(lines)
                     continue
                 found = common_lines(old, lines, b.column("words")[k].as_py(), least)
                 if found:

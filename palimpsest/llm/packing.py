@@ -6,9 +6,10 @@ that holds it and that no document before it took. That is the matching of brack
 stands on one level belongs together. Levels come from counts by length and from ranks within a length, so a sweep is a
 few shuffles of slim rows, with no order of all rows in one task. Documents that want one gap are told apart by rank; a
 gap with room for several of the band's longest stands for as many places. Then gaps are updated, and the next sweep
-follows, until one places hardly any (END_SWEEPS). What is left of the band opens new sequences, by as many documents of
-neighbouring ranks as surely fit. Full pieces have a sequence each. The number of sequences comes near that of best-fit
-decreasing, one document after the other (the README has figures).
+follows, until one places nothing: each fills a good part of the gaps' room, so they are few. What is left of the band
+opens new sequences, each by as many documents of neighbouring ranks as it has tokens for. Full pieces have a sequence
+each. The number of sequences comes near that of best-fit decreasing, one document after the other (the README has
+figures).
 
 Defined cases: null text counts as empty and gives the end token alone; repeated rows are packed each; an empty table
 gives an empty result; other columns are ignored.
@@ -32,8 +33,6 @@ SPECIAL = "<|endoftext|>"
 NAMED, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 #: Sub-ranges of a length that are ranked apart.
 BUCKETS = 64
-#: A sweep that places no more than one in so many of what it leaves is a band's last.
-END_SWEEPS = 10
 #: Rows of a sweep that one task takes: its tables are slim, and tasks, files and shuffle blocks far below this size cost
 #: more than they carry. Never more tasks than the session's shuffles have.
 TASK_ROWS = 1 << 15
@@ -177,11 +176,32 @@ def _sweep(docs: DataFrame, gaps: DataFrame, low: int, top: int, capacity: int,
     return met.select("id", "seq", offset.alias("offset"), "length").coalesce(tasks)
 
 
-def _opened(docs: DataFrame, top: int, capacity: int, tasks: int) -> DataFrame:
-    """New sequences for documents of up to `top` tokens, in groups of neighbouring ranks. As `_sweep` gives them."""
+def _openings(counts: list[tuple[int, int]], capacity: int) -> list[tuple[int, int, int, int, int]]:
+    """counts: (length, documents). From long to short, each new sequence takes as many neighbours as it has tokens for:
+    (length, rank before its first one, documents that still go to the sequence opened last, that sequence, documents of
+    this length to a sequence). At most `capacity` rows."""
+    out, before, last, room = [], 0, -1, 0
+    for length, n in sorted(counts, reverse=True):
+        joining, each = min(n, room // length), capacity // length
+        out.append((length, before, joining, last, each))
+        before, room, rest = before + n, room - joining * length, n - joining
+        if rest:
+            last += -(-rest // each)
+            room = capacity - ((rest - 1) % each + 1) * length
+    return out
+
+
+def _opened(docs: DataFrame, capacity: int, tasks: int) -> DataFrame:
+    """New sequences, full of documents of neighbouring ranks. As `_sweep` gives them."""
+    counts = [tuple(x) for x in docs.groupBy("length").count().collect()]  # at most `capacity` rows
+    kinds = "length bigint, before bigint, joining bigint, last bigint, each bigint"
+    known = F.broadcast(docs.sparkSession.createDataFrame(_openings(counts, capacity), kinds).coalesce(1))
     ranked = _ranked(docs.select("id", "length", F.lit(0).alias("j"), (-F.col("length")).alias("sub"), F.lit(0).alias("all")), ["all"], ["sub"], tasks)
-    group = Window.partitionBy(F.floor((F.col("r") - 1) / (capacity // top)))
+    own = F.col("r") - F.col("before") - F.col("joining") - 1  # below 0: it joins
+    number = F.col("last") + F.when(own < 0, 0).otherwise(1 + F.floor(own / F.col("each")))
+    group = Window.partitionBy("s")
     before = group.orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = ranked.join(known, "length").withColumn("s", number)
     return ranked.select("id", F.min("id").over(group).alias("seq"), F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset"), "length").coalesce(tasks)
 
 
@@ -221,10 +241,10 @@ def places(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             if n:
                 gaps, left = cut(_left(gaps, new).coalesce(tasks)), left - n
                 band = cut(band.join(new.select("id"), "id", "left_anti").coalesce(tasks)) if left else band
-            if n <= left // END_SWEEPS:
+            if not n:
                 break
         if left:
-            new = cut(_opened(band, top, capacity, tasks))
+            new = cut(_opened(band, capacity, tasks))
             done.append(new.drop("length"))
             opened = new.groupBy("seq").agg((capacity - F.sum("length")).alias("gap")).filter("gap > 0")
             gaps = cut((opened if gaps is None else gaps.unionByName(opened)).coalesce(tasks))

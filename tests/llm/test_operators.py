@@ -476,3 +476,35 @@ def test_pipeline_keeps_one_row_of_each_component_of_a_large_group(spark):
             root[root == hi] = lo
     docs = docs_of(spark, [(i, " ".join(map(str, w)), "a") for i, w in enumerate(made.tolist())])
     assert sorted(x.doc_id for x in c.dedup_near(spark, docs, "").collect()) == np.unique(root).tolist()
+
+
+def test_every_run_of_lines_that_an_earlier_document_has_goes(spark):
+    """Against a search through all pairs, on documents of few different lines, whose runs an alignment may tear apart."""
+    import corpus_pipeline as c
+
+    r = random.Random(8)
+    kinds = ["a b", "c d e", "f", "g h i j", "k l m", "n", "o p", "q r s t"]
+    rows = [(1, "a b c\nv w x y z\na b c\nd e f", "a"), (2, "a b c\nd e f", "a")]
+    rows += [(i, "\n".join(r.choice(kinds) for _ in range(r.randint(1, 9))), "a") for i in range(3, 60)]
+    split, want = [t.split("\n") for _, t, _ in rows], {}
+    for i, mine in enumerate(split):
+        held = [x for x in line_dedup.runs([len(y.split()) for y in mine], 5)
+                if any(mine[slice(*x)] == split[j][k : k + x[1] - x[0]] for j in range(i) for k in range(len(split[j])))]
+        want[rows[i][0]] = sorted({k for a, b in held for k in range(a, b)})
+    docs = docs_of(spark, rows)
+    assert {x.doc_id: list(x.deleted) for x in line_dedup.dedup_lines(docs).collect()} == want and want[2] == [0, 1]
+    assert {x.doc_id for x in c.dedup_lines(spark, docs, "").collect()} == {i for i, t, _ in rows if len(want[i]) < len(t.split("\n"))}
+
+
+def test_new_sequences_are_filled(spark):
+    """Tables of lengths just above a band's lower end: a sequence, new or not, takes as many as it has tokens for."""
+    r = random.Random(9)
+    for lengths in ([33] * 1000, [r.randint(86, 90) for _ in range(500)], [520] * 30 + [33] * 2310):
+        docs = spark.createDataFrame(list(enumerate(lengths)), "id bigint, length bigint").checkpoint()
+        by = defaultdict(list)
+        for x in packing.places(docs).collect():
+            by[x.seq].append((x.offset, lengths[x.id]))
+        for parts in by.values():
+            assert [o for o, _ in sorted(parts)] == [sum(m for _, m in sorted(parts)[:i]) for i in range(len(parts))]
+            assert sum(m for _, m in parts) <= 1024
+        assert sum(map(len, by.values())) == len(lengths) and len(by) == len(best_fit_decreasing(lengths, 1024))
