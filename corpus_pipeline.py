@@ -39,14 +39,14 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the row with the smallest id, null last, of each group of near duplicates; rows alike in id and text count
-    once. Rows are told apart by numbers in that order, as ids may be null or repeated. Null and blank texts link with
-    nothing and stay."""
-    rows = carried(docs.dropDuplicates(["doc_id", "text"]), doc_id=F.col("doc_id"), text=F.col("text"))
-    rows = rows.orderBy(F.col("doc_id").asc_nulls_last(), F.xxhash64("text"))
-    rows = cut(rows.select("row", F.monotonically_increasing_id().alias("id")))
-    found = near_dedup.near_duplicates(rows.select(F.col("id").alias("doc_id"), "row.text"))
-    kept = found.filter("kept").select(F.col("doc_id").alias("id"))
-    return rows.join(kept, "id", "left_semi").select(*(F.col(f"row.`{c}`") for c in docs.columns))
+    once. Rows are told apart by id and 128 bits of the text, in that order, as ids may be null or repeated: so no row
+    needs a number, and whole rows are shuffled once, at the end. Null and blank texts link with nothing and stay."""
+    bits = {"th": F.xxhash64("text"), "uh": F.xxhash64(F.lit(1), "text")}
+    key = F.struct(F.col("doc_id").isNull().alias("nul"), F.col("doc_id").alias("id"), *(c.alias(n) for n, c in bits.items()))
+    found = near_dedup.near_duplicates(docs.select(key.alias("doc_id"), "text"))
+    kept = found.filter("kept").select(F.col("doc_id").alias("key")).distinct()
+    rows = carried(docs, key=key).join(kept, "key", "left_semi").dropDuplicates(["key"])
+    return rows.select(*(F.col(f"row.`{c}`") for c in docs.columns))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

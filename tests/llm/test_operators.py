@@ -508,3 +508,22 @@ def test_new_sequences_are_filled(spark):
             assert [o for o, _ in sorted(parts)] == [sum(m for _, m in sorted(parts)[:i]) for i in range(len(parts))]
             assert sum(m for _, m in parts) <= 1024
         assert sum(map(len, by.values())) == len(lengths) and len(by) == len(best_fit_decreasing(lengths, 1024))
+
+
+def test_near_dedup_stage_writes_no_whole_rows_to_the_shared_folder(spark):
+    """Columns beside doc_id and text are large here, and stay out of all checkpoints."""
+    import os
+    import corpus_pipeline as c
+
+    def written():
+        folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+        return sum(os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(folder) for f in files)
+
+    r = random.Random(10)
+    rows = [(i % 150, " ".join(str(r.randrange(99)) for _ in range(30)), "a") for i in range(180)]
+    docs = spark.createDataFrame([(i, t, "en", s, len(t), r.randbytes(50_000)) for i, t, s in [*rows, *rows[:20]]], DOCS + ", more binary")
+    c.dedup_near(spark, docs.limit(0), "").count()  # there is a folder now
+    before = written()
+    got = c.dedup_near(spark, docs, "").collect()
+    assert written() - before < 200 * 50_000 / 4
+    assert sorted((x.doc_id, x.text) for x in got) == sorted((i, t) for i, t, _ in rows) and all(len(x.more) == 50_000 for x in got)
