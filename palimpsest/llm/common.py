@@ -27,6 +27,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def slim(df: DataFrame, rows: int, each: int = 1 << 18) -> DataFrame:
+    """`cut` for a table of narrow rows, at most `rows` of them: its last stage has a task, and the folder a file, for
+    every `each` rows, not for every shuffle partition. (A store that is a local file system without Hadoop's native
+    library starts processes for each file, for its permissions.)"""
+    return cut(df.coalesce(max(1, -(-rows // each))))
+
+
 def carried(df: DataFrame, **own: Column) -> DataFrame:
     """One column `row` with all of df's, whatever their names, beside the named ones that an operator needs."""
     return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"), *(c.alias(n) for n, c in own.items()))

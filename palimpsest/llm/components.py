@@ -4,7 +4,7 @@ links, links in both directions and links of a node to itself count once or not
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import cut
+from palimpsest.llm.common import slim
 
 
 def _fan(df: DataFrame, *pairs: tuple[str, str]) -> DataFrame:
@@ -35,10 +35,12 @@ def _is_forest_of_stars(e: DataFrame) -> bool:
     return by.filter("up > 1 or (up = 1 and down = 1)").isEmpty()
 
 
-def components(links: DataFrame) -> DataFrame:
-    """links: u, v. Gives node, root: for each linked node but the roots, the least node of its component."""
+def components(links: DataFrame, most: int | None = None) -> DataFrame:
+    """links: u, v, at most `most` rows (counted, if not given; else links is read once). Gives node, root: for each linked
+    node but the roots, the least node of its component. A turn never adds links."""
+    most = links.count() if most is None else most
     e = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct()
-    e = cut(e)
+    e = slim(e, most)
     while not _is_forest_of_stars(e):
-        e = cut(_small_star(_large_star(e)).distinct())
+        e = slim(_small_star(_large_star(e)).distinct(), most)
     return e.select(F.col("u").alias("node"), F.col("v").alias("root"))

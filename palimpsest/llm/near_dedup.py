@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import cut, read
+from palimpsest.llm.common import cut, read, slim
 from palimpsest.llm.components import components
 from palimpsest.llm.shingles import Minima, scramble, set_print, shingle_set, text_words
 
@@ -28,6 +28,8 @@ BANDS, ROWS = 32, 4
 SLACK = 5
 #: Places that a class looks ahead in its bucket in the quick turns, and rows of a bucket that meet in one task.
 REACH, BLOCK = 4, 2048
+#: In a file of the shared folder: rows with signatures and bands (450 bytes each), and bytes of shingle sets.
+CLASS_ROWS, SET_BYTES = 1 << 15, 1 << 23
 #: Shingles compared at once.
 AT_ONCE = 1 << 20
 
@@ -206,21 +208,22 @@ def _near(x, z, percent: int):
     return F.when((z.c != x.c) & size, differ <= _most(percent)).otherwise(False)
 
 
-def _fetched(ids: DataFrame, docs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
-    """cid, body: the shingle sets of these classes, from the texts of their first documents."""
-    wanted = cut(ids.join(classes.select("cid", "print", "least_id"), "cid"))
+def _fetched(ids: DataFrame, docs: DataFrame, classes: DataFrame, n: int, size: int, k: int) -> DataFrame:
+    """cid, body: the shingle sets of these classes (`n` of `size` shingles at most), from the texts of their first documents."""
+    wanted = slim(ids.join(classes.select("cid", "print", "least_id"), "cid"), n)
     first = wanted.select(F.col("least_id").alias("_id")).distinct()
     texts = docs.join(first.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select("text")
     sets = texts.mapInArrow(_sets(k), "print binary, body binary")
     # once for each print, on the join's own partitioning: bodies are shuffled once
-    return cut(sets.join(wanted.select("print", "cid"), "print").dropDuplicates(["print"]).select("cid", "body"))
+    sets = sets.join(wanted.select("print", "cid"), "print").dropDuplicates(["print"]).select("cid", "body")
+    return slim(sets, size * 8, SET_BYTES)
 
 
 def _confirmed(maybe: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (u, v) among the pairs, on the full sets."""
+    """Links (u, v) among the pairs, on the full sets. To be read once."""
     side = lambda c: sets.select(F.col("cid").alias(c), F.col("body").alias(f"body_{c}"))
     x = maybe.join(side("b"), "b").join(side("a"), "a")
-    return cut(x.select("a", "b", "body_a", "body_b").mapInArrow(_linked(percent), "a bigint, b bigint").toDF("u", "v"))
+    return x.select("a", "b", "body_a", "body_b").mapInArrow(_linked(percent), "a bigint, b bigint").toDF("u", "v")
 
 
 def _block():
@@ -228,8 +231,8 @@ def _block():
     return F.pmod(F.xxhash64("cid", "h"), F.ceil(F.col("m") / BLOCK))
 
 
-def _partners(rows: DataFrame, classes: DataFrame, reach: int, percent: int) -> DataFrame:
-    """rows: h, m, band, cid, c. Distinct pairs (a, b) that may be links of classes of different c, at most `reach` places
+def _partners(rows: DataFrame, classes: DataFrame, reach: int, most: int, percent: int) -> DataFrame:
+    """rows: h, m, band, cid, c, at most `most`. Distinct pairs (a, b) that may be links of classes of different c, at most `reach` places
     apart in their block's order. Signatures join the rows here only, and what leaves is pairs of numbers."""
     longs = BANDS * ROWS // 8
     at = [F.pmod(F.floor(F.col("band") / 2) + 1 + d, F.lit(longs)).cast("int") + 1 for d in (0, 1)]
@@ -242,12 +245,13 @@ def _partners(rows: DataFrame, classes: DataFrame, reach: int, percent: int) ->
     met = rows.select(it.alias("x"), after.alias("next"))
     near = F.transform(F.filter("next", lambda z: _near(F.col("x"), z, percent)), lambda z: z.cid)
     met = met.select(F.col("x.cid").alias("cid"), F.explode(near).alias("z"))
-    return cut(met.select(F.least("cid", "z").alias("a"), F.greatest("cid", "z").alias("b")).distinct())
+    return slim(met.select(F.least("cid", "z").alias("a"), F.greatest("cid", "z").alias("b")).distinct(), most * reach)
 
 
-def _remaining(rows: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """rows: h, m, band, cid, c. Links (u, v) that join classes of different c: all pairs of a bucket meet. Every block
-    meets every other one and itself, in one group each; sets go only to the rows that signatures leave."""
+def _remaining(rows: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, int]:
+    """rows: h, m, band, cid, c. Links (u, v) that join classes of different c, to be read once, and how many there are at
+    most: all pairs of a bucket meet. Every block meets every other one and itself, in one group each; sets go only to the
+    rows that signatures leave, and each link joins two of a group's components."""
     keys, kinds = ["h", "g1", "g2"], "h bigint, g1 bigint, g2 bigint, g bigint, band int, cid bigint, c bigint"
     rows = rows.withColumn("g", _block()).withColumn("o", F.explode(F.sequence(F.lit(0), F.ceil(F.col("m") / BLOCK) - 1)))
     rows = rows.select("h", F.least("g", "o").alias("g1"), F.greatest("g", "o").alias("g2"), "g", "band", "cid", "c")
@@ -255,34 +259,39 @@ def _remaining(rows: DataFrame, classes: DataFrame, sets: DataFrame, percent: in
     about = classes.select("cid", "n", "sig", "bands")
     left = cut(dealt(rows.join(about, "cid")).mapInArrow(_facing(percent), kinds))
     found = dealt(left.join(about, "cid").join(sets, "cid")).mapInArrow(_joining(percent), "u bigint, v bigint")
-    return cut(found.distinct())
+    return found, left.count()
 
 
-def _with_component(shared: DataFrame, comps: DataFrame) -> DataFrame:
-    """shared with c, the classes' component now. Buckets of one component give no pairs any more and go whole."""
+def _with_component(shared: DataFrame, comps: DataFrame, most: int) -> DataFrame:
+    """shared, at most `most` rows, with c, the classes' component now. Buckets of one component give no pairs any more and
+    go whole."""
     state = shared.join(comps.select(F.col("node").alias("cid"), "root"), "cid", "left")
     state, bucket = state.withColumn("c", F.coalesce("root", "cid")).drop("root"), Window.partitionBy("h")
     ends = state.withColumns({"c0": F.min("c").over(bucket), "c1": F.max("c").over(bucket)})
-    return cut(ends.filter("c0 < c1").drop("c0", "c1"))
+    return slim(ends.filter("c0 < c1").drop("c0", "c1"), most)
 
 
 def _links(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
     """node, root of the classes' components."""
+    n, size = classes.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     rows = classes.select(F.posexplode("bands").alias("band", "h"), "cid")
     many = rows.groupBy("h").agg(F.count("*").alias("m")).filter("m > 1")
-    shared = cut(rows.join(many, "h"))  # the members of buckets with two classes or more
-    maybe = _partners(shared.withColumn("c", F.col("cid")), classes, 1, percent)
+    shared = slim(rows.join(many, "h"), n * BANDS)  # the members of buckets with two classes or more
+    most = shared.count()
+    maybe = _partners(shared.withColumn("c", F.col("cid")), classes, 1, most, percent)
     open_ = shared.filter(F.col("m") > 2)
     # all that later turns may meet is fetched with the first pairs, so the texts are shuffled once
     ids = maybe.select(F.explode(F.array("a", "b")).alias("cid")).unionByName(open_.select("cid")).distinct()
-    sets = _fetched(ids, docs, classes, k)
-    comps = components(_confirmed(maybe, sets, percent))
-    open_ = _with_component(open_, comps)
-    good = _confirmed(_partners(open_, classes, REACH, percent), sets, percent)
-    comps = components(good.unionByName(comps.toDF("u", "v")))
+    sets = _fetched(ids, docs, classes, n, size, k)
+    comps = components(_confirmed(maybe, sets, percent), maybe.count())
+    open_ = _with_component(open_, comps, most)
+    maybe = _partners(open_, classes, REACH, open_.count(), percent)
+    # a component of n classes is n - 1 links
+    comps = components(_confirmed(maybe, sets, percent).unionByName(comps.toDF("u", "v")), maybe.count() + n)
     # buckets of REACH + 1 classes have met in full
-    open_ = _with_component(open_.drop("c").filter(F.col("m") > REACH + 1), comps)
-    return components(_remaining(open_, classes, sets, percent).unionByName(comps.toDF("u", "v")))
+    open_ = _with_component(open_.drop("c").filter(F.col("m") > REACH + 1), comps, most)
+    found, most = _remaining(open_, classes, sets, percent)
+    return components(found.unionByName(comps.toDF("u", "v")), most + n)
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -294,9 +303,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     classes = prints.filter("n_shingles > 0").groupBy("print").agg(
         F.min("doc_id").alias("least_id"), F.first(F.struct("n_shingles", "bands", "sig")).alias("x")
     )
-    classes = cut(classes.select(
+    classes = slim(classes.select(
         F.monotonically_increasing_id().alias("cid"), "print", "least_id", F.col("x.n_shingles").alias("n"), "x.bands", "x.sig"
-    ))
+    ), prints.count(), CLASS_ROWS)
     comps = _links(docs, classes, k, percent)
     named = classes.select("cid", "print", "least_id").join(
         comps.select(F.col("node").alias("cid"), "root"), "cid", "left"

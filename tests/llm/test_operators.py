@@ -527,3 +527,29 @@ def test_near_dedup_stage_writes_no_whole_rows_to_the_shared_folder(spark):
     got = c.dedup_near(spark, docs, "").collect()
     assert written() - before < 200 * 50_000 / 4
     assert sorted((x.doc_id, x.text) for x in got) == sorted((i, t) for i, t, _ in rows) and all(len(x.more) == 50_000 for x in got)
+
+
+def test_near_dedup_writes_few_files_for_small_tables(spark):
+    """However many partitions shuffles have: a file is written for so many rows, not for each partition of each table."""
+    import os
+
+    def files():
+        folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+        return sum(f.startswith("part-") for _, _, names in os.walk(folder) for f in names)
+
+    r = random.Random(13)
+    base = [str(r.randrange(99)) for _ in range(40)]
+    rows = [(i, " ".join(str(r.randrange(99)) if r.random() < 0.01 else w for w in base), "a") for i in range(60)]
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {x: spark.conf.get(x) for x in held}
+    want = {(x.doc_id, x.component_id, x.kept) for x in near_dedup.near_duplicates(docs_of(spark, rows)).collect()}
+    try:
+        for x, v in held.items():
+            spark.conf.set(x, v)
+        before = files()
+        got = {(x.doc_id, x.component_id, x.kept) for x in near_dedup.near_duplicates(docs_of(spark, rows)).collect()}
+        assert files() - before < 3 * 40
+    finally:
+        for x, v in old.items():
+            spark.conf.set(x, v)
+    assert got == want and len({c for _, c, _ in got}) < 60
