@@ -1,9 +1,11 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from palimpsest.functions import diffs as D
+from palimpsest.functions import distance
 from palimpsest.functions import text as X
 from palimpsest.functions.bleu import bleu
 from palimpsest.functions.comments import is_fa_edit, is_npov_edit
@@ -49,6 +51,45 @@ def test_diff_rows_of_a_changed_sentence():
     assert not D.is_retained("x", "ends b", "b") and D.is_retained("a  b c".replace("  ", " "), "z", "b c")
 
 
+def test_distance_of_long_edited_texts_needs_no_table(monkeypatch):
+    """The table of two texts of 100,000 signs takes seconds; lines and documents have it only where the bounds differ."""
+    rng = random.Random(1)
+    words = ["the", "on", "station", "a", "wherever", "xylophone", "tin", "of"]
+    text = " ".join(rng.choice(words) for _ in range(20_000))
+    cut = text[:200] + text[259:]
+    tables = []
+    monkeypatch.setattr(distance, "_columns", lambda a, b: tables.append((a, b)))
+    on = text.count("on")
+    pairs = [(text, text, 0), (text, text[:300], len(text) - 300), (text, text[59:], 59), (text, cut, 59), (text, text + " More.", 6),
+             (text, text.replace("on", "é!"), 2 * on)]
+    assert [distance.distance(a, b) for a, b, _ in pairs] == [d for _, _, d in pairs]
+    assert [distance.distance(b, a) for a, b, _ in pairs] == [d for _, _, d in pairs] and not tables
+
+
+def test_distance_against_the_table():
+    def plain(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    rng = random.Random(2)
+    for _ in range(3000):
+        signs = rng.choice(["ab", "abc ", "abcdefgh é\n"])
+        a = "".join(rng.choices(signs, k=rng.randint(0, 50)))
+        b = list(a)
+        for _ in range(rng.randint(0, 6)):
+            k = rng.randint(0, len(b))
+            b[k : k + rng.randint(0, 3)] = rng.choices(signs, k=rng.randint(0, 3))
+        b = "".join(b)
+        assert distance.distance(a, b) == plain(a, b)
+        if a and b:
+            most = max(len(a), len(b))
+            assert distance._diagonals(a, b, most) == plain(a, b) == distance._columns(*sorted((a, b), key=len, reverse=True))
+
+
 def test_only_runs_are_problem_patterns(spark):
     runs = ["!?." * 334, "z" * 1001, "-=" * 101, "é" * 1001, "a? " * 1000]
     none = ["AT!! WITH!! THE!! " * 300, "One. Two! " * 600, "?!." * 33, " " * 500, "\n" * 1200, ". a" * 1200, "z" * 1000, "a? " * 999, ""]
