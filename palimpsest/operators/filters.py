@@ -45,7 +45,7 @@ MARKERS = ["{{", "}}", "[[", "]]", "<ref", "</ref", "ref>", "<!--", "-->"]
 
 
 def drop_empty(df: DataFrame) -> DataFrame:
-    return df.filter((X.strip_ws(_old()) != "") & (X.strip_ws(_new()) != ""))
+    return df.filter(X.has_text(_old()) & X.has_text(_new()))
 
 
 def drop_same(df: DataFrame, simple: bool = False) -> DataFrame:
@@ -55,7 +55,7 @@ def drop_same(df: DataFrame, simple: bool = False) -> DataFrame:
 
 
 def drop_short(df: DataFrame, words: int = 5) -> DataFrame:
-    return df.filter((X.spaced_words(_old()) >= words) & (X.spaced_words(_new()) >= words))
+    return df.filter(X.has_spaced_words(_old(), words) & X.has_spaced_words(_new(), words))
 
 
 def cut_relative_length(df: DataFrame, q: float, low: float = 150.0, high: float = 200.0) -> DataFrame:

@@ -100,6 +100,16 @@ def test_only_runs_are_problem_patterns(spark):
     assert f.with_bleu(shouts).first().bleu_score == 1 and f.drop_removals(shouts).count() == 1
 
 
+def test_white_space_shortcuts_agree_with_the_plain_forms(spark):
+    rng = random.Random(5)
+    signs = ["a", "é", " ", "\n", "\t", "\xa0", "\u2009", "\x1c", "\x85", "\u3000", "\u200b", "\r"]
+    rows = [("".join(rng.choices(signs, weights=[4, 2, 4] + [1] * 9, k=rng.randint(0, 24))),) for _ in range(3000)] + [(None,)]
+    df, c = spark.createDataFrame(rows, "t string"), F.col("t")
+    same = [F.trim(F.regexp_replace(c, r"(?U)\s+", " ")).eqNullSafe(X.collapse_ws(c)), (X.strip_ws(c) != "").eqNullSafe(X.has_text(c))]
+    same += [(X.spaced_words(c) >= n).eqNullSafe(X.has_spaced_words(c, n)) for n in (1, 2, 5)]
+    assert df.select(*(F.count_if(~x) for x in same)).first() == (0,) * 5
+
+
 def test_revert_leaves_the_chain(spark):
     rows = [(1, 10, 1, "a", 100), (1, 11, 2, "b", 100), (1, 12, 3, "a", 100), (1, 13, 4, "c", 100)]
     df = spark.createDataFrame(rows, "page_id int, rev_id int, rev_ord int, sha1 string, text_size int")
