@@ -1,9 +1,12 @@
 import math
 import random
+import sys
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+from palimpsest.functions import bleu as bleu_of
 from palimpsest.functions import diffs as D
 from palimpsest.functions import distance
 from palimpsest.functions import text as X
@@ -22,6 +25,35 @@ def test_bleu_of_equal_and_foreign_texts():
     assert 0 < bleu(a, "the dog ran".split()) < 1e-50  # no shared pair of words
 
 
+def test_bleu_against_plain_counts():
+    def plain(a, b):
+        logs = 0.0
+        for n in range(1, 5):
+            have, most = (Counter(tuple(x[i : i + n]) for i in range(len(x) - n + 1)) for x in (b, a))
+            hit = sum((have & most).values())
+            if n == 1 and not hit:
+                return 0.0
+            logs += math.log(hit / sum(have.values()) if hit else sys.float_info.min) / 4
+        return (1.0 if len(b) > len(a) else math.exp(1 - len(a) / len(b)) if b else 0.0) * math.exp(logs)
+
+    rng = random.Random(3)
+    for _ in range(3000):
+        a = rng.choices("abcd", k=rng.randint(0, 14))
+        b = list(a)
+        for _ in range(rng.randint(0, 4)):
+            k = rng.randint(0, len(b))
+            b[k : k + rng.randint(0, 3)] = rng.choices("abcd", k=rng.randint(0, 3))
+        assert bleu(a, b) == plain(a, b)
+
+
+def test_bleu_skips_equal_ends(monkeypatch):
+    """An edit within a long text costs its own n-grams, not the text's."""
+    seen = []
+    monkeypatch.setattr(bleu_of, "_missing", lambda a, b, n, f=bleu_of._missing: seen.append(len(a) + len(b)) or f(a, b, n))
+    words = [str(i % 97) for i in range(50_000)]
+    assert 0.99 < bleu(words, [*words[:20_000], "new", *words[20_000:]]) < 1 and max(seen) < 20
+
+
 @pytest.mark.parametrize(
     ("comment", "npov", "fa"),
     [("fix npov issue", True, False), ("rv npov", False, False), ("reverted pov", False, False),
