@@ -99,16 +99,18 @@ def lookups(texts: DataFrame, known: DataFrame, invalid: DataFrame, renderer: Re
 
 def rendered(texts: DataFrame, found: DataFrame) -> DataFrame:
     """texts: text, each once. found: as `lookups` gives. text, changed, result (null: some template cannot be rendered)."""
-    rows = texts.filter(F.col("text").isNotNull()).select("text", F.explode_outer(top_templates(F.col("text"))).alias("template"))
+    # a text is known by its hash here: most texts have the same few templates, and whole ones would all meet in their tasks
+    keyed = texts.filter(F.col("text").isNotNull()).select("text", F.md5("text").alias("_k"))
+    rows = keyed.select("_k", F.explode_outer(top_templates(F.col("text"))).alias("template")).distinct()
     rows = rows.join(found.withColumn("_in", F.lit(True)), "template", "left")
-    per = rows.groupBy("text").agg(
+    per = rows.groupBy("_k").agg(
         F.collect_set(F.when(F.col("rendered").isNotNull(), F.struct("template", "rendered"))).alias("by"),
         F.count_if(F.col("template").isNotNull() & F.col("rendered").isNull()).alias("failed"),
     )
     # longer sources first: one template's source may be part of another's
     order = F.array_sort("by", lambda a, b: F.length(b.template) - F.length(a.template))
     out = F.aggregate(order, F.col("text"), lambda t, x: F.replace(t, x.template, x.rendered))
-    return per.select("text", (F.size("by") > 0).alias("changed"), F.when(F.col("failed") == 0, out).alias("result"))
+    return keyed.join(per, "_k").select("text", (F.size("by") > 0).alias("changed"), F.when(F.col("failed") == 0, out).alias("result"))
 
 
 def render_rows(df: DataFrame, known: DataFrame, invalid: DataFrame, renderer: Renderer | None = None) -> tuple[DataFrame, DataFrame]:

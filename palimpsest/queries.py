@@ -150,7 +150,9 @@ def _template_lookup(spark, sf):
     known, invalid = table.filter("rendered is not null"), table.filter("rendered is null").select("template")
     found = t.lookups(docs.select("text").distinct(), known, invalid)
     out = t.rendered(docs.select("text").distinct(), found)
-    return docs.join(out, "text").select("page_id", "changed", F.md5("result").alias("result"))
+    # joined by the texts' hashes: no task holds the texts of many copies
+    out = out.select(F.md5("text").alias("k"), "changed", F.md5("result").alias("result"))
+    return docs.select("page_id", F.md5("text").alias("k")).join(out, "k").select("page_id", "changed", "result")
 
 
 def _section_rows(spark, sf):

@@ -310,3 +310,14 @@ def test_reverts_of_a_stream(spark, tmp_path):
     q.awaitTermination()
     got = {x.rev_id: (x.first_ord, x.is_revert) for x in spark.table("reverts").collect()}
     assert got == {10: (1, False), 11: (2, False), 12: (1, True), 20: (1, False), 13: (4, False), 14: (2, True)}
+
+
+def test_whole_texts_do_not_meet_by_their_templates(spark):
+    texts = spark.createDataFrame([("x {{plus}} {{plus}}",), ("y {{plus}}",), ("plain",), ("z {{gone}} {{plus}}",), (None,)], "text string")
+    found = spark.createDataFrame([("{{plus}}", "+"), ("{{gone}}", None)], "template string, rendered string")
+    out = t.rendered(texts, found)
+    got = {x.text: (x.changed, x.result) for x in out.collect()}
+    assert got == {"x {{plus}} {{plus}}": (True, "x + +"), "y {{plus}}": (True, "y +"), "plain": (False, "plain"), "z {{gone}} {{plus}}": (True, None)}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    grouped = [x for x in plan.splitlines() if "Aggregate [" in x]
+    assert grouped and not any("text#" in x.split("],")[0] for x in grouped)
