@@ -74,6 +74,18 @@ def test_sentences_keep_every_sign():
     assert section_sentences("* One. Two.\n\nThree.") == ["* One.Two.", "\n\n", "Three."]
 
 
+def test_a_line_without_braces_is_not_read_sign_by_sign():
+    class Line(str):
+        def __getitem__(self, k):
+            asked.append(k)
+            return str.__getitem__(self, k)
+
+    asked = []
+    line = Line("One word. " * 1000)
+    assert split_templates(line) == [(False, str(line))] and len(asked) < 5
+    assert split_templates("{{a {{quote|b}} }}  {{bq|c}}  d }} {{") == [(False, "{{a {{quote|b}} }}  "), (True, "{{bq|c}}"), (False, "d }} {{")]
+
+
 def test_diff_rows_of_a_changed_sentence():
     old, new = ["A one.", "B two.", "C three."], ["A one.", "B 2.", "C three."]
     got = D.hunks(old, new)
