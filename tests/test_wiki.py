@@ -321,3 +321,12 @@ def test_whole_texts_do_not_meet_by_their_templates(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     grouped = [x for x in plan.splitlines() if "Aggregate [" in x]
     assert grouped and not any("text#" in x.split("],")[0] for x in grouped)
+
+
+def test_a_batch_of_pages_is_read_in_slices(spark):
+    texts = [(i, None if i % 7 == 0 else f"lead {i}\n== A ==\nx {i}. y.") for i in range(150)]
+    df = spark.createDataFrame(texts, "i int, text string").coalesce(1)
+    size = s._by_slices(lambda x: len(x or ""), s.pa.int64(), "bigint", rows=4)
+    assert {x.i: x.n for x in df.select("i", size("text").alias("n")).collect()} == {i: len(x or "") for i, x in texts}
+    got = {x.i: [tuple(y) for y in x.sections] for x in s.with_sections(df).select("i", "sections").collect()}
+    assert got == {i: W.sections(x or "") for i, x in texts}
